@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ticketloom.session import read_table
+
 TABLES = ["documents", "labels", "orders", "customer", "nation"]
 
 INCIDENTS = """
@@ -62,7 +64,7 @@ FROM {documents}
 
 def run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run one of the texts over the tables of `sf_dir`."""
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in text}
+    used = {t: read_table(spark, f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in text}
     return spark.sql(text, **used)
 
 

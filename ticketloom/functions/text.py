@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -143,7 +144,11 @@ def strip_accents(col: Column, form: str = "NFD") -> Column:
 
     chars = F.regexp_extract_all(single, F.lit("(?s)."), F.lit(0))
     expanded = F.array_join(F.transform(chars, expand), "")
-    return F.when(single.rlike(several), expanded).otherwise(single)
+    # A cheap range test spares most texts the test for the exact characters.
+    start = min(ord(c) for c in to_many if ord(c) > 0xFF)
+    latin = "".join(f"\\x{{{ord(c):X}}}" for c in to_many if ord(c) <= 0xFF)
+    maybe = f"[{latin}\\x{{{start:X}}}-\\x{{10FFFF}}]"
+    return F.when(single.rlike(maybe) & single.rlike(several), expanded).otherwise(single)
 
 
 # ---------------------------------------------------------------------------
@@ -160,27 +165,69 @@ def tokens(col: Column, accents: bool = True, stop_words: list[str] | None = Non
         text = strip_accents(text, "NFKD")
     words = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
     if stop_words:
-        stops = F.array(*[F.lit(w) for w in stop_words])
-        words = F.filter(words, lambda w: ~F.array_contains(stops, w))
+        words = F.filter(words, lambda w: ~w.isin(stop_words))
     return words
 
 
-def ngrams(words: Column, low: int, high: int) -> Column:
-    """All n-grams of `low` to `high` words, joined by a space.
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often `use` reads it.
 
-    `words` must be a column that the plan holds once (see `operators.features`),
-    because it is read several times here.
+    Without this the optimiser may inline a costly `value` at every reference,
+    even inside another function's lambda.
     """
-    size = F.size(words)
+    return F.get(F.transform(F.array(value), use), 0)
+
 
-    def shifted(n: int, by: int) -> Column:
-        return F.slice(words, F.lit(by + 1), F.greatest(size - (n - 1), F.lit(0)))
+def ngrams(words: Column, low: int, high: int) -> Column:
+    """All n-grams of `low` to `high` words, joined by a space. `words` must be bound."""
 
     def grams(n: int) -> Column:
-        out = words if n == 1 else shifted(n, 0)
-        for by in range(1, n):
-            out = F.zip_with(out, shifted(n, by), lambda a, b: F.concat_ws(" ", a, b))
-        return out
+        heads = F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
+
+        def joined(head: Column, at: Column) -> Column:
+            rest = [x for k in range(1, n) for x in (F.lit(" "), F.get(words, at + k))]
+            return F.concat(head, *rest)
+
+        return words if n == 1 else F.transform(heads, joined)
 
     parts = [grams(n) for n in range(low, high + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def counted(terms: Column) -> Column:
+    """array<struct<term, tf>> of the distinct terms: run lengths of the sorted array.
+
+    Counting inside the row needs no shuffle and no hash table of all tickets' terms.
+    """
+
+    def runs(ordered: Column) -> Column:
+        starts = F.filter(
+            F.transform(
+                ordered,
+                lambda term, at: F.when(
+                    (at == 0) | (term != F.get(ordered, at - 1)),
+                    F.struct(term.alias("term"), at.alias("at")),
+                ),
+            ),
+            lambda start: start.isNotNull(),
+        )
+        return bind(
+            starts,
+            lambda each: F.transform(
+                each,
+                lambda start, i: F.struct(
+                    start["term"].alias("term"),
+                    (F.coalesce(F.get(each, i + 1)["at"], F.size(ordered)) - start["at"]).alias("tf"),
+                ),
+            ),
+        )
+
+    return bind(F.sort_array(terms), runs)
+
+
+def term_frequencies(
+    col: Column, low: int, high: int, accents: bool = True, stop_words: list[str] | None = None
+) -> Column:
+    """array<struct<term, tf>> of a text's n-grams."""
+    words = tokens(col, accents, stop_words)
+    return bind(words, lambda w: counted(ngrams(w, low, high)))

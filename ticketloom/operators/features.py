@@ -3,8 +3,8 @@
 Long form `(incident_id, term, weight)` for SQL work; array form
 `(indices, values)` with one row per ticket for training and scoring.
 
-Texts are hashed by `incident_id` once, before they are exploded; counting
-terms per ticket, norms and packing all reuse that partitioning.
+Terms are counted inside each row. Only known terms, packed to one row per
+ticket before they travel, are shuffled.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.constants import STOP_WORDS, UNKNOWN
-from ticketloom.functions.text import ngrams, tokens
+from ticketloom.functions.text import bind, term_frequencies
 from ticketloom.operators.joins import dim_join, is_small
 from ticketloom.operators.ranking import rank_in_group
 from ticketloom.session import materialise, scratch_path
@@ -50,26 +50,13 @@ TEXT_CONFIGS = {
 }
 
 
-def ticket_terms(tickets: DataFrame, config: TextConfig, *keep: str) -> DataFrame:
-    """One row per n-gram occurrence: (incident_id, *keep, term), hashed by ticket."""
-    words = tokens(
-        F.col("description"), config.accents, STOP_WORDS if config.stop_words else None
-    )
-    # Explode directly over the token projection: a projection in between would
-    # be collapsed and copy the tokeniser into every n-gram expression.
-    tokenised = (
-        tickets.select(ID, *keep, "description")
-        .repartition(ID)
-        .select(ID, *keep, words.alias("words"))
-    )
-    return tokenised.select(
-        ID, *keep, F.explode(ngrams(F.col("words"), config.low, config.high)).alias("term")
-    )
-
-
 def term_counts(tickets: DataFrame, config: TextConfig) -> DataFrame:
-    """(incident_id, term, tf)."""
-    return ticket_terms(tickets, config).groupBy(ID, "term").agg(F.count("*").alias("tf"))
+    """(incident_id, term, tf). Counted inside each row, so nothing is shuffled."""
+    stop_words = STOP_WORDS if config.stop_words else None
+    terms = term_frequencies(
+        F.col("description"), config.low, config.high, config.accents, stop_words
+    )
+    return tickets.select(ID, F.inline(terms))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -102,11 +89,25 @@ def vocab_join(counts: DataFrame, vocab: DataFrame, max_features: int) -> DataFr
     return counts.join(side, "term")
 
 
+def raw_weight():
+    """(1 + ln tf) * idf."""
+    return (F.log(F.col("tf").cast("double")) + 1.0) * F.col("idf")
+
+
+def unit_length(pairs):
+    """array<struct<idx, raw>> scaled to length one, as array<struct<idx, weight>>."""
+    norm = F.sqrt(F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x["raw"] * x["raw"]))
+    return bind(
+        norm,
+        lambda length: F.transform(
+            pairs, lambda x: F.struct(x["idx"].alias("idx"), (x["raw"] / length).alias("weight"))
+        ),
+    )
+
+
 def tfidf(counts: DataFrame, vocab: DataFrame, max_features: int) -> DataFrame:
     """Add `weight` = (1 + ln tf) * idf, scaled to unit length per ticket."""
-    raw = vocab_join(counts, vocab, max_features).withColumn(
-        "_raw", (F.log(F.col("tf").cast("double")) + 1.0) * F.col("idf")
-    )
+    raw = vocab_join(counts, vocab, max_features).withColumn("_raw", raw_weight())
     # The rows of one window are one ticket's distinct terms, at most max_features.
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(ID)))
     return raw.withColumn("weight", F.col("_raw") / norm).drop("_raw")
@@ -224,10 +225,11 @@ def transform(
     Unknown terms and categories add nothing; a ticket without any keeps empty arrays.
     """
     counts = term_counts(tickets, model.config) if counts is None else counts
-    weights = tfidf(counts, model.vocab.select("term", "idf", "idx"), model.config.max_features)
-    texts = weights.groupBy(ID).agg(
-        F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_text")
-    )
+    known = vocab_join(counts, model.vocab.select("term", "idf", "idx"), model.config.max_features)
+    # One ticket's terms sit in one partition, so they collapse to one row before the shuffle.
+    texts = known.groupBy(ID).agg(
+        F.array_sort(F.collect_list(F.struct("idx", raw_weight().alias("raw")))).alias("_raw")
+    ).select(ID, unit_length(F.col("_raw")).alias("_text"))
     base = tickets.select(ID, *keep, *[c for c in model.columns if c not in keep])
     if model.columns:
         small = is_small(model.dictionary)

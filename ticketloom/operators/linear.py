@@ -23,7 +23,9 @@ from ticketloom.session import ship_with_tasks
 ship_with_tasks(__name__)
 
 # Coefficients (features x problems) that one job may carry to each task.
-MAX_COEFFICIENTS = 32_000_000
+MAX_COEFFICIENTS = 8_000_000
+# Numbers one task works on at a time.
+NUMBERS_PER_STEP = 4_000_000
 # Width of the partial sums that one reducer adds up.
 BLOCK = 1 << 16
 
@@ -112,56 +114,94 @@ def sum_over_rows(
 
 
 # ---------------------------------------------------------------------------
-# Squared-hinge SVC, one against the rest, for many problems at once
+# Many regularised problems at once
 # ---------------------------------------------------------------------------
 
+HINGE, BINARY, SOFTMAX = "hinge", "binary", "softmax"
+
+
 @dataclass(frozen=True)
 class Problem:
-    """One binary problem: class `cls` against the rest, without fold `fold`.
+    """One training problem on the rows outside fold `fold` (-1 uses all rows).
 
-    `cost` multiplies the loss of positive and of other rows.
+    hinge and binary: class `cls` against the rest, `cost` = (positive, other).
+    softmax: all classes, `cost` per class.
     """
 
+    loss: str
     cls: int
     fold: int
-    cost: tuple[float, float]
-
-
-def _signs(rows: Rows, problems: list[Problem]) -> tuple[np.ndarray, np.ndarray]:
-    cls = np.array([p.cls for p in problems])
-    fold = np.array([p.fold for p in problems])
-    cost = np.array([p.cost for p in problems])
-    positive = rows.columns["cls"][:, None] == cls
-    used = rows.columns["fold"][:, None] != fold
-    return np.where(positive, 1.0, -1.0), np.where(positive, cost[:, 0], cost[:, 1]) * used
-
+    cost: tuple[float, ...]
 
-def hinge_sums(df: DataFrame, weights: np.ndarray, problems: list[Problem]) -> tuple[np.ndarray, np.ndarray]:
-    """(losses per problem, gradients size x problem) of the squared hinge. One job.
-
-    The last row of `weights` is the intercept, a constant feature.
+    @property
+    def width(self) -> int:
+        return len(self.cost) if self.loss == SOFTMAX else 1
+
+
+def spans(problems: list[Problem]) -> list[slice]:
+    """The coefficient columns of each problem."""
+    ends = np.cumsum([p.width for p in problems])
+    return [slice(int(e) - p.width, int(e)) for e, p in zip(ends, problems)]
+
+
+def loss_and_factors(
+    problem: Problem, f: np.ndarray, cls: np.ndarray, fold: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """Loss and its derivative by the decisions `f` (rows x width)."""
+    used = fold != problem.fold
+    if problem.loss == SOFTMAX:
+        cost = np.asarray(problem.cost)[cls] * used
+        z = f - f.max(axis=1, keepdims=True)
+        e = np.exp(z)
+        total = e.sum(axis=1)
+        mine = np.arange(len(cls)), cls
+        factors = e / total[:, None]
+        factors[mine] -= 1.0
+        return float((cost * (np.log(total) - z[mine])).sum()), factors * cost[:, None]
+    positive = cls == problem.cls
+    sign = np.where(positive, 1.0, -1.0)
+    cost = np.where(positive, *problem.cost) * used
+    margin = sign * f[:, 0]
+    if problem.loss == HINGE:
+        gap = np.maximum(0.0, 1.0 - margin)
+        return float((cost * gap * gap).sum()), (-2.0 * cost * sign * gap)[:, None]
+    loss = float((cost * np.logaddexp(0.0, -margin)).sum())
+    return loss, (-cost * sign * _sigmoid(-margin))[:, None]
+
+
+def loss_sums(
+    df: DataFrame, weights: np.ndarray, problems: list[Problem]
+) -> tuple[np.ndarray, np.ndarray]:
+    """(loss per problem, gradient like `weights`) without penalty. One job for all problems.
+
+    The last row of `weights` is the intercept.
     """
-    size, count = weights.shape[0] - 1, len(problems)
+    size, width, count = weights.shape[0] - 1, weights.shape[1], len(problems)
+    columns = spans(problems)
     shared = df.sparkSession.sparkContext.broadcast(weights)
 
     def task(batches: Iterator[Rows]) -> np.ndarray:
         w = shared.value
-        loss, grad = np.zeros(count), np.zeros((size + 1, count))
+        loss, grad = np.zeros(count), np.zeros((size + 1, width))
         for batch in batches:
-            for rows in batch.parts(4_000_000, count):
-                sign, cost = _signs(rows, problems)
-                gap = np.maximum(0.0, 1.0 - sign * (rows.times(w[:-1]) + w[-1]))
-                loss += (cost * gap * gap).sum(axis=0)
-                factors = -2.0 * cost * sign * gap
+            for rows in batch.parts(NUMBERS_PER_STEP, width):
+                f = rows.times(w[:-1]) + w[-1]
+                factors = np.empty_like(f)
+                cls, fold = rows.columns["cls"], rows.columns["fold"]
+                for i, problem in enumerate(problems):
+                    part, factors[:, columns[i]] = loss_and_factors(
+                        problem, f[:, columns[i]], cls, fold
+                    )
+                    loss[i] += part
                 grad[:-1] += rows.transposed_times(factors, size)
                 grad[-1] += factors.sum(axis=0)
         return np.concatenate([loss, grad.ravel()])
 
     try:
-        total = sum_over_rows(df, ["cls", "fold"], task, count * (size + 2))
+        total = sum_over_rows(df, ["cls", "fold"], task, count + (size + 1) * width)
     finally:
         shared.unpersist()
-    return total[:count], total[count:].reshape(size + 1, count)
+    return total[:count], total[count:].reshape(size + 1, width)
 
 
 class _Memory:
@@ -189,54 +229,71 @@ class _Memory:
         return -q
 
 
-def fit_svc(
-    df: DataFrame, size: int, problems: list[Problem], tol: float = 1e-3, max_passes: int = 300
+def groups(problems: list[Problem], size: int) -> list[list[Problem]]:
+    """Problems in order, in groups whose coefficients fit the budget (at least one each)."""
+    out: list[list[Problem]] = []
+    room = 0
+    for problem in problems:
+        need = problem.width * (size + 1)
+        if not out or need > room:
+            out.append([])
+            room = MAX_COEFFICIENTS
+        out[-1].append(problem)
+        room -= need
+    return out
+
+
+def fit(
+    df: DataFrame, size: int, problems: list[Problem], tol: float, max_passes: int = 300
 ) -> np.ndarray:
-    """Coefficients (size + 1) x problems of half squared norm plus weighted squared hinge.
+    """Coefficients (size + 1) x columns of half the squared norm plus the weighted losses.
 
-    Every pass over the data serves all problems that still run. If they exceed
-    the coefficient budget together, they are solved group by group; each problem
-    is independent, so the result is the same.
+    Every pass over the data serves all problems that still run. Problems are
+    independent, so groups beyond the coefficient budget run one after another.
+    The hinge penalises its intercept, the logistic losses do not.
     """
-    group = max(1, MAX_COEFFICIENTS // (size + 1))
-    if len(problems) > group:
-        solved = [
-            fit_svc(df, size, problems[i : i + group], tol, max_passes)
-            for i in range(0, len(problems), group)
-        ]
-        return np.hstack(solved)
-
-    count = len(problems)
-    w = np.zeros((size + 1, count))
-    loss, grad = hinge_sums(df, w, problems)  # the norm term is zero at the start
-    goal = tol * np.linalg.norm(grad, axis=0)
-    memory = [_Memory() for _ in range(count)]
-    step = np.array([1.0 / max(1.0, np.linalg.norm(grad[:, j])) for j in range(count)])
-    move = -grad
-    active = np.flatnonzero(np.linalg.norm(grad, axis=0) > goal)
+    parts = groups(problems, size)
+    if len(parts) > 1:
+        return np.hstack([fit(df, size, part, tol, max_passes) for part in parts])
+
+    columns = spans(problems)
+    ridge = [
+        np.append(np.ones(size), 1.0 if p.loss == HINGE else 0.0)[:, None] for p in problems
+    ]
+    w = np.zeros((size + 1, columns[-1].stop))
+    loss, first = loss_sums(df, w, problems)  # the norm term is zero at the start
+    grad = [first[:, c] for c in columns]
+    norm = [float(np.linalg.norm(g)) for g in grad]
+    memory = [_Memory() for _ in problems]
+    move = [-g for g in grad]
+    step = [1.0 / max(1.0, n) for n in norm]
+    active = [j for j, n in enumerate(norm) if n > 0]
     for _ in range(max_passes):
-        if not len(active):
+        if not active:
             break
-        trial = w[:, active] + step[active] * move[:, active]
-        new_loss, new_grad = hinge_sums(df, trial, [problems[j] for j in active])
-        new_loss = new_loss + 0.5 * (trial * trial).sum(axis=0)
-        new_grad = new_grad + trial
+        running = [problems[j] for j in active]
+        trial = np.hstack([w[:, columns[j]] + step[j] * move[j] for j in active])
+        new_loss, new_grad = loss_sums(df, trial, running)
         still = []
-        for i, j in enumerate(active):
-            slope = float(grad[:, j] @ move[:, j])
-            if new_loss[i] > loss[j] + 1e-4 * step[j] * slope:
+        for i, (j, c) in enumerate(zip(active, spans(running))):
+            there, old = trial[:, c], w[:, columns[j]]
+            value = new_loss[i] + 0.5 * float((ridge[j] * there * there).sum())
+            slope = float((grad[j] * move[j]).sum())
+            if value > loss[j] + 1e-4 * step[j] * slope:
                 # Minimum of the parabola through both points, kept in a safe range.
-                fall = 2.0 * (new_loss[i] - loss[j] - step[j] * slope)
+                fall = 2.0 * (value - loss[j] - step[j] * slope)
                 step[j] *= min(0.5, max(0.1, -step[j] * slope / fall))
                 if step[j] > 1e-12:
                     still.append(j)
                 continue
-            memory[j].add(trial[:, i] - w[:, j], new_grad[:, i] - grad[:, j])
-            w[:, j], grad[:, j], loss[j] = trial[:, i], new_grad[:, i], new_loss[i]
-            if np.linalg.norm(grad[:, j]) > goal[j]:
-                move[:, j], step[j] = memory[j].direction(grad[:, j]), 1.0
+            fresh = new_grad[:, c] + ridge[j] * there
+            memory[j].add((there - old).ravel(), (fresh - grad[j]).ravel())
+            w[:, columns[j]], grad[j], loss[j] = there, fresh, value
+            if np.linalg.norm(fresh) > tol * norm[j]:
+                move[j] = memory[j].direction(fresh.ravel()).reshape(fresh.shape)
+                step[j] = 1.0
                 still.append(j)
-        active = np.array(still, dtype=int)
+        active = still
     return w
 
 
@@ -268,7 +325,7 @@ def fit_sigmoids(
         def task(batches: Iterator[Rows]) -> np.ndarray:
             w, out = shared.value, np.zeros((6, count))
             for batch in batches:
-                for rows in batch.parts(4_000_000, count):
+                for rows in batch.parts(NUMBERS_PER_STEP, count):
                     mine = rows.columns["fold"][:, None] == fold
                     f = rows.times(w[:-1]) + w[-1]
                     target = np.where(rows.columns["cls"][:, None] == cls, high, low)
@@ -398,7 +455,7 @@ def predict(features: DataFrame, model: LinearModel, out: str = "probabilities")
                 continue
             found = [
                 shell.probabilities(rows.times(w[:-1]) + w[-1])
-                for rows in Rows.of(batch, []).parts(4_000_000, w.shape[1])
+                for rows in Rows.of(batch, []).parts(NUMBERS_PER_STEP, w.shape[1])
             ]
             table = np.vstack(found)
             ends = pa.array(np.arange(len(table) + 1) * table.shape[1], type=pa.int32())

@@ -69,50 +69,57 @@ def training_set(features: DataFrame, label: str, size: int, k: int = FOLDS) ->
 # Calibrated SVC
 # ---------------------------------------------------------------------------
 
-def _problems(counts: np.ndarray, fold: int, c: float) -> list[linear.Problem]:
+def balanced(counts: np.ndarray) -> np.ndarray:
+    """Class weights n / (k * n_c)."""
+    return counts.sum() / (len(counts) * np.maximum(counts, 1))
+
+
+def fold_counts(data: TrainingSet, k: int) -> np.ndarray:
+    """(fold, class) row counts."""
+    out = np.zeros((k, len(data.classes)))
+    for row in data.rows.groupBy("fold", "cls").agg(F.count("*").alias("n")).collect():
+        out[row.fold, row.cls] = row.n
+    return out
+
+
+def svc_problems(counts: np.ndarray, fold: int, c: float) -> list[linear.Problem]:
     """One-against-rest problems of one fold. Two classes weigh both sides, more only the positive."""
-    k, total = len(counts), counts.sum()
-    weight = total / (k * np.maximum(counts, 1))
-    if k == 2:
-        return [linear.Problem(1, fold, (c * weight[1], c * weight[0]))]
-    return [linear.Problem(i, fold, (c * weight[i], c)) for i in range(k)]
+    weight = balanced(counts)
+    if len(counts) == 2:
+        return [linear.Problem(linear.HINGE, 1, fold, (c * weight[1], c * weight[0]))]
+    return [
+        linear.Problem(linear.HINGE, i, fold, (c * w, c)) for i, w in enumerate(weight)
+    ]
 
 
 def train_calibrated_svcs(
     data: TrainingSet, costs: list[float], k: int = FOLDS, tol: float = 1e-3
 ) -> list[linear.LinearModel]:
     """One calibrated model per cost; all costs, folds and classes share every data pass."""
-    per_fold = np.zeros((k, len(data.classes)))
-    for row in data.rows.groupBy("fold", "cls").agg(F.count("*").alias("n")).collect():
-        per_fold[row.fold, row.cls] = row.n
-    if (per_fold.min(axis=0) < 1).any():
+    per_fold = fold_counts(data, k)
+    if (per_fold < 1).any():
         raise ValueError(f"calibration needs at least {k} rows of every class")
     problems = [
-        p for c in costs for f in range(k)
-        for p in _problems(data.counts - per_fold[f], f, c)
+        p for c in costs for f in range(k) for p in svc_problems(data.counts - per_fold[f], f, c)
     ]
     held = np.array(
         [(per_fold[p.fold, p.cls], per_fold[p.fold].sum() - per_fold[p.fold, p.cls]) for p in problems]
     )
     rows = data.rows.persist()
     try:
-        weights = linear.fit_svc(rows, data.size, problems, tol)
-        group = max(1, linear.MAX_COEFFICIENTS // (data.size + 1))
-        sigmoids = np.vstack([
-            linear.fit_sigmoids(
-                rows, weights[:, i : i + group], problems[i : i + group], held[i : i + group]
-            )
-            for i in range(0, len(problems), group)
-        ])
+        weights = linear.fit(rows, data.size, problems, tol)
+        sigmoids, at = [], 0
+        for part in linear.groups(problems, data.size):
+            here = slice(at, at + len(part))
+            sigmoids.append(linear.fit_sigmoids(rows, weights[:, here], part, held[here]))
+            at += len(part)
+        table = np.vstack(sigmoids)
     finally:
         rows.unpersist()
     each = len(problems) // len(costs)
     return [
-        linear.LinearModel(
-            linear.CALIBRATED, data.classes,
-            weights[:, i * each : (i + 1) * each], sigmoids[i * each : (i + 1) * each], k,
-        )
-        for i in range(len(costs))
+        linear.LinearModel(linear.CALIBRATED, data.classes, weights[:, s], table[s], k)
+        for s in (slice(i * each, (i + 1) * each) for i in range(len(costs)))
     ]
 
 
@@ -120,20 +127,46 @@ def train_calibrated_svcs(
 # Logistic regression
 # ---------------------------------------------------------------------------
 
-def train_logistic(
-    data: TrainingSet, c: float, vectors: DataFrame | None = None, max_iter: int = 1000
-) -> linear.LinearModel:
-    """Balanced L2 logistic regression with inverse strength `c`, intercept not penalised."""
-    binary = len(data.classes) == 2
-    vectors = as_vectors(data.rows, data.size) if vectors is None else vectors
-    # Balanced weights add up to the number of rows, so the mean loss is scaled by it.
-    estimator = LogisticRegression(
+def train_logistics(
+    data: TrainingSet, settings: list[tuple[float, int]], k: int = 1, tol: float = 1e-4
+) -> list[linear.LinearModel]:
+    """Balanced L2 logistic regressions, intercept not penalised, one per (C, held-out fold).
+
+    Fold -1 trains on all rows. All settings share every data pass.
+    """
+    per_fold = fold_counts(data, k) if any(f >= 0 for _, f in settings) else None
+    problems = []
+    for c, fold in settings:
+        counts = data.counts if fold < 0 else data.counts - per_fold[fold]
+        cost = tuple(c * balanced(counts))
+        if len(cost) == 2:
+            problems.append(linear.Problem(linear.BINARY, 1, fold, (cost[1], cost[0])))
+        else:
+            problems.append(linear.Problem(linear.SOFTMAX, -1, fold, cost))
+    rows = data.rows.persist()
+    try:
+        weights = linear.fit(rows, data.size, problems, tol)
+    finally:
+        rows.unpersist()
+    return [
+        linear.LinearModel(linear.LOGISTIC, data.classes, weights[:, c])
+        for c in linear.spans(problems)
+    ]
+
+
+def train_logistic(data: TrainingSet, c: float, tol: float = 1e-4) -> linear.LinearModel:
+    return train_logistics(data, [(c, -1)], tol=tol)[0]
+
+
+def train_spark_logistic(data: TrainingSet, c: float, max_iter: int = 1000) -> linear.LinearModel:
+    """The same optimum from Spark's own estimator; it needs more data passes on rare features."""
+    vectors = as_vectors(data.rows, data.size)
+    model = LogisticRegression(
         labelCol="cls", featuresCol="features", weightCol="weight",
-        family="binomial" if binary else "multinomial",
-        regParam=1.0 / (c * float(vectors.agg(F.sum("weight")).first()[0])),
+        family="binomial" if len(data.classes) == 2 else "multinomial",
+        regParam=1.0 / (c * float(data.counts.sum())),  # balanced weights add up to the rows
         elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-6,
-    )
-    model = estimator.fit(vectors)
+    ).fit(vectors)
     table = model.coefficientMatrix.toArray()
     weights = np.vstack([table.T, model.interceptVector.toArray()[None, :]])
     return linear.LinearModel(linear.LOGISTIC, data.classes, weights)
