@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ticketloom.constants import CITIES, NO, NO_CITY, UNKNOWN, YES
-from ticketloom.functions.text import SPACE, free_text, label, strip, whole_word
+from ticketloom.functions.text import SPACE, label, strip, whole_word
 
 # --- Fixed values: rules that settle a ticket before any model ---------------
 SCREEN_RULE = "PF5"
@@ -99,9 +99,3 @@ def top_classes(probabilities: Column, classes: list[str], n: int) -> Column:
         ),
     )
 
-
-__all__ = [
-    "agent", "at_serving", "binary_target", "city", "free_text", "is_ruled_out", "percent",
-    "requester", "requester_at_serving", "top_classes", "urgency_category", "urgency_number",
-    "with_default", "yes_no",
-]

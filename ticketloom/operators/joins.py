@@ -37,7 +37,7 @@ def dim_join(
         return fact.join(F.broadcast(dim), on, how)
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     copies = dim.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long")
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     )
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 

@@ -190,4 +190,5 @@ def repair_cells(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(header=True, escape='"', emptyValue="").csv(path)
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, escape='"', emptyValue="", **options).csv(path)
