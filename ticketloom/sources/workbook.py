@@ -80,10 +80,8 @@ def sheet_rows(content: bytes, sheet: str, required: bool) -> Iterator[list[str
                 row.clear()
 
 
-def read_workbook_rows(
-    spark: SparkSession, paths: list[str], sheet: str = SHEET, required: bool = False
-) -> DataFrame:
-    """(file, row, cells, error) of all workbooks; row 0 is the header row.
+def workbook_rows(files: DataFrame, sheet: str = SHEET, required: bool = False) -> DataFrame:
+    """(file, row, cells, error) of workbooks given as (file, content); row 0 is the header row.
 
     A sheet has at most about a million rows, so a file fits a task. A file that
     cannot be read gives one row with its error.
@@ -104,8 +102,13 @@ def read_workbook_rows(
                     rows.append((name, -1, None, error))
                 yield pd.DataFrame(rows, columns=["file", "row", "cells", "error"])
 
-    files = spark.read.format("binaryFile").load(paths)
+    return files.select("file", "content").mapInPandas(parse, ROWS)
+
+
+def read_workbook_rows(
+    spark: SparkSession, paths: list[str], sheet: str = SHEET, required: bool = False
+) -> DataFrame:
+    """The same for workbook files."""
+    files = spark.read.format("binaryFile").load(paths).repartition(max(len(paths), 1), "path")
     name = F.element_at(F.split("path", "/"), -1)
-    return files.repartition(max(len(paths), 1), "path").select(
-        name.alias("file"), "content"
-    ).mapInPandas(parse, ROWS)
+    return workbook_rows(files.select(name.alias("file"), "content"), sheet, required)
