@@ -14,6 +14,7 @@ from ticketloom.operators.ranking import class_join, folds, stratified_split
 from ticketloom.registry import oracle as o
 from ticketloom.registry.catalog import query
 from ticketloom.registry.cleaning import cleaned
+from ticketloom.session import materialise
 
 MULTI, OMV, ORIGINE = (ft.TEXT_CONFIGS[k] for k in ("multi", "omv", "origine"))
 
@@ -33,10 +34,15 @@ def text_ctes(config: ft.TextConfig, fit: str = "SELECT * FROM clean") -> dict[s
     }
 
 
-def weights_of(tickets: DataFrame, config: ft.TextConfig) -> DataFrame:
-    counts = ft.term_counts(tickets, config)
-    vocab = ft.with_idf(ft.vocabulary(counts, config), tickets.count())
-    return ft.tfidf(counts, vocab, config.max_features)
+def fitted_vocabulary(tickets: DataFrame, config: ft.TextConfig) -> DataFrame:
+    """(term, df, ctf, idf), at most max_features rows, written once."""
+    vocab = ft.vocabulary(ft.term_counts(tickets, config), config)
+    return materialise(ft.with_idf(vocab, tickets.count()), "vocab")
+
+
+def weights_of(tickets: DataFrame, config: ft.TextConfig, vocab: DataFrame | None = None) -> DataFrame:
+    vocab = fitted_vocabulary(tickets, config) if vocab is None else vocab
+    return ft.tfidf(ft.term_counts(tickets, config), vocab, config.max_features)
 
 
 @query("c16_tokens", o.sql(
@@ -115,13 +121,10 @@ SPLIT = """SELECT *, rn <= ceil(CAST(0.2 AS DOUBLE) * n) AS is_test FROM (
     all_counts=o.COUNTS.replace("grams", "all_grams")))
 def fit_on_train(spark, sf):
     """Weights of all trainable tickets under a vocabulary fitted on the train side."""
-    from ticketloom.session import materialise
-
     rows = filters.trainable(cleaned(spark, sf), "omv").select("incident_id", "omv", "description")
     split = materialise(stratified_split(rows, "omv"), "split")
     train = split.filter(~F.col("is_test"))
-    vocab = ft.with_idf(ft.vocabulary(ft.term_counts(train, OMV), OMV), train.count())
-    return ft.tfidf(ft.term_counts(split, OMV), vocab, OMV.max_features).select(
+    return weights_of(split, OMV, fitted_vocabulary(train, OMV)).select(
         "incident_id", "term", F.round("weight", 6).alias("weight")
     )
 
@@ -140,8 +143,9 @@ def norms(spark, sf):
      FROM counts c JOIN vocab v ON v.term = c.term GROUP BY c.incident_id""", "clean",
     **{k: v for k, v in text_ctes(MULTI).items() if k != "weights"}))
 def vocabulary_join(spark, sf):
-    counts = ft.term_counts(cleaned(spark, sf), MULTI)
-    known = ft.vocab_join(counts, ft.vocabulary(counts, MULTI), MULTI.max_features)
+    tickets = cleaned(spark, sf)
+    vocab = fitted_vocabulary(tickets, MULTI)
+    known = ft.vocab_join(ft.term_counts(tickets, MULTI), vocab, MULTI.max_features)
     return known.groupBy("incident_id").agg(
         F.count("*").alias("known"), F.sum("tf").alias("occurrences")
     )
