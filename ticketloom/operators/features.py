@@ -50,13 +50,13 @@ TEXT_CONFIGS = {
 }
 
 
-def term_counts(tickets: DataFrame, config: TextConfig) -> DataFrame:
-    """(incident_id, term, tf). Counted inside each row, so nothing is shuffled."""
+def term_counts(tickets: DataFrame, config: TextConfig, *keep: str) -> DataFrame:
+    """(incident_id, *keep, term, tf). Counted inside each row, so nothing is shuffled."""
     stop_words = STOP_WORDS if config.stop_words else None
     terms = term_frequencies(
         F.col("description"), config.low, config.high, config.accents, stop_words
     )
-    return tickets.select(ID, F.inline(terms))
+    return tickets.select(ID, *keep, F.inline(terms))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -199,17 +199,19 @@ def fit_features(
     columns: list[str],
     config: TextConfig,
     counts: DataFrame | None = None,
+    dictionary: DataFrame | None = None,
 ) -> FeatureModel:
     """Fit vocabulary and category dictionary on `tickets`.
 
-    `counts` may hold the term counts of the same tickets if already made.
+    `counts` and `dictionary` may hold those of the same tickets if already made.
     """
     n_docs = tickets.count()
     counts = term_counts(tickets, config) if counts is None else counts
     vocab = materialise(index_vocabulary(vocabulary(counts, config), n_docs), "vocab")
-    dictionary, n_categories = None, 0
+    n_categories = 0
     if columns:
-        dictionary = materialise(category_dictionary(tickets, columns), "categories")
+        if dictionary is None:
+            dictionary = materialise(category_dictionary(tickets, columns), "categories")
         n_categories = dictionary.count()
     return FeatureModel(config, list(columns), vocab, dictionary, vocab.count(), n_categories)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.constants import ALL_SERVICES, SOURCE_DEFAULT, SOURCE_LOOKUP, UNKNOWN
 from ticketloom.functions.text import strip_accents
+from ticketloom.session import materialise
 
 # A dimension of at most this many short rows is broadcast.
 BROADCAST_ROWS = 200_000
@@ -46,6 +47,8 @@ def lookup_service(
     tickets: DataFrame, agents: DataFrame, small: bool | None = None
 ) -> DataFrame:
     """Add `service_deterministe`: the requester's service by exact, then accent-free name."""
+    # Read three times: for its size and by both forms of the name.
+    agents = materialise(agents.select("agent", "service"), "agents")
     if small is None:
         small = is_small(agents)
     known = F.when(F.col("demandeur") != UNKNOWN, F.col("demandeur"))

@@ -128,7 +128,7 @@ def train_calibrated_svcs(
 # ---------------------------------------------------------------------------
 
 def train_logistics(
-    data: TrainingSet, settings: list[tuple[float, int]], k: int = 1, tol: float = 1e-4
+    data: TrainingSet, settings: list[tuple[float, int]], k: int = 1, tol: float = 1e-3
 ) -> list[linear.LinearModel]:
     """Balanced L2 logistic regressions, intercept not penalised, one per (C, held-out fold).
 
@@ -154,7 +154,7 @@ def train_logistics(
     ]
 
 
-def train_logistic(data: TrainingSet, c: float, tol: float = 1e-4) -> linear.LinearModel:
+def train_logistic(data: TrainingSet, c: float, tol: float = 1e-3) -> linear.LinearModel:
     return train_logistics(data, [(c, -1)], tol=tol)[0]
 
 

@@ -78,12 +78,19 @@ def split_tickets(
 
 
 def prepare(
-    split: DataFrame, label: str, columns: list[str], config: TextConfig, fit_scope: str = "train"
+    split: DataFrame, label: str, columns: list[str], config: TextConfig, fit_scope: str = "train",
+    counts: DataFrame | None = None, dictionary: DataFrame | None = None,
 ) -> Prepared:
-    """Fit features on the train rows (or, `fit_scope="all"`, on every row) and encode all rows."""
-    scope = split if fit_scope == "all" else split.filter(~F.col("is_test"))
-    model = fit_features(scope, columns, config)
-    rows = materialise(transform(split, model, label, "is_test"), "features")
+    """Fit features on the train rows (or, `fit_scope="all"`, on every row) and encode all rows.
+
+    `counts` (with is_test) and `dictionary` may come from an earlier setting on the same split.
+    """
+    def scope(df: DataFrame) -> DataFrame:
+        return df if fit_scope == "all" else df.filter(~F.col("is_test"))
+
+    fitted_on = None if counts is None else scope(counts)
+    model = fit_features(scope(split), columns, config, fitted_on, dictionary)
+    rows = materialise(transform(split, model, label, "is_test", counts=counts), "features")
     return Prepared(label, model, rows.filter(~F.col("is_test")), rows.filter("is_test"))
 
 
