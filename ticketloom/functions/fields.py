@@ -41,7 +41,7 @@ def agent(col: Column) -> Column:
 def city(description: Column) -> Column:
     """First known city named in the text."""
     found = F.regexp_extract(F.upper(description), whole_word("|".join(CITIES)), 1)
-    return F.when(found != "", found).otherwise(F.lit(NO_CITY))
+    return F.coalesce(F.nullif(found, F.lit("")), F.lit(NO_CITY))
 
 
 def urgency_number(col: Column) -> Column:

@@ -40,13 +40,14 @@ def free_text(col: Column) -> Column:
 def label(col: Column) -> Column:
     """`free_text` in upper case, with empty, NAN and NONE as null."""
     text = F.upper(free_text(col))
-    return F.when(~text.isin("", "NAN", "NONE"), text)
+    for missing in ("", "NAN", "NONE"):
+        text = F.nullif(text, F.lit(missing))
+    return text
 
 
 def edge_label(col: Column) -> Column:
     """Trim and upper only; the word NAN is null, inner spaces and NONE stay."""
-    text = F.upper(strip(col))
-    return F.when(text != "NAN", text)
+    return F.nullif(F.upper(strip(col)), F.lit("NAN"))
 
 
 def plain_label(col: Column, default: str | None = None) -> Column:

@@ -24,6 +24,8 @@ ship_with_tasks(__name__)
 
 # Coefficients (features x problems) that one job may carry to each task.
 MAX_COEFFICIENTS = 8_000_000
+# Numbers that partitions may send to the driver in one pass.
+MAX_GATHERED = 16_000_000
 # Numbers one task works on at a time.
 NUMBERS_PER_STEP = 4_000_000
 # Width of the partial sums that one reducer adds up.
@@ -88,12 +90,14 @@ class Rows:
 
 
 def sum_over_rows(
-    df: DataFrame, names: list[str], task: Callable[[Iterator[Rows]], np.ndarray], length: int
+    df: DataFrame, names: list[str], task: Callable[[Iterator[Rows]], np.ndarray], length: int,
+    pieces: int,
 ) -> np.ndarray:
-    """Sum the vectors of `length` that `task` makes of each partition's rows.
+    """Sum the vectors of `length` that `task` makes of each of the `pieces` partitions.
 
-    A partition sends its vector in blocks and every block is added up by its own
-    reducer, so no task and not the driver receives one vector per partition.
+    A partition sends its vector in blocks. As long as all of them together are
+    small they are added up here; else every block has its own reducer, so no
+    task and not the driver receives one vector per partition.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,15 +108,22 @@ def sum_over_rows(
             )
 
     parts = df.select("indices", "values", *names).mapInArrow(run, "block long, part array<double>")
-    sums = parts.groupBy("block").agg(
-        vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")
-    )
+    if pieces * length > MAX_GATHERED:
+        parts = parts.groupBy("block").agg(
+            vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")
+        )
+    table = parts.toArrow()
     out = np.zeros(length)
-    for row in sums.collect():  # `length` numbers in total
-        out[row.block : row.block + len(row.part)] = row.part
+    for block, part in zip(table.column("block").to_pylist(), table.column("part")):
+        numbers = part.values.to_numpy()
+        out[block : block + len(numbers)] += numbers
     return out
 
 
+def partitions(df: DataFrame) -> int:
+    return df.rdd.getNumPartitions()
+
+
 # ---------------------------------------------------------------------------
 # Many regularised problems at once
 # ---------------------------------------------------------------------------
@@ -170,7 +181,7 @@ def loss_and_factors(
 
 
 def loss_sums(
-    df: DataFrame, weights: np.ndarray, problems: list[Problem]
+    df: DataFrame, weights: np.ndarray, problems: list[Problem], pieces: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """(loss per problem, gradient like `weights`) without penalty. One job for all problems.
 
@@ -198,7 +209,7 @@ def loss_sums(
         return np.concatenate([loss, grad.ravel()])
 
     try:
-        total = sum_over_rows(df, ["cls", "fold"], task, count + (size + 1) * width)
+        total = sum_over_rows(df, ["cls", "fold"], task, count + (size + 1) * width, pieces)
     finally:
         shared.unpersist()
     return total[:count], total[count:].reshape(size + 1, width)
@@ -256,12 +267,12 @@ def fit(
     if len(parts) > 1:
         return np.hstack([fit(df, size, part, tol, max_passes) for part in parts])
 
-    columns = spans(problems)
+    columns, pieces = spans(problems), partitions(df)
     ridge = [
         np.append(np.ones(size), 1.0 if p.loss == HINGE else 0.0)[:, None] for p in problems
     ]
     w = np.zeros((size + 1, columns[-1].stop))
-    loss, first = loss_sums(df, w, problems)  # the norm term is zero at the start
+    loss, first = loss_sums(df, w, problems, pieces)  # the norm term is zero at the start
     grad = [first[:, c] for c in columns]
     norm = [float(np.linalg.norm(g)) for g in grad]
     memory = [_Memory() for _ in problems]
@@ -273,7 +284,7 @@ def fit(
             break
         running = [problems[j] for j in active]
         trial = np.hstack([w[:, columns[j]] + step[j] * move[j] for j in active])
-        new_loss, new_grad = loss_sums(df, trial, running)
+        new_loss, new_grad = loss_sums(df, trial, running, pieces)
         still = []
         for i, (j, c) in enumerate(zip(active, spans(running))):
             there, old = trial[:, c], w[:, columns[j]]
@@ -319,7 +330,7 @@ def fit_sigmoids(
     fold = np.array([p.fold for p in problems])
     high = (counts[:, 0] + 1.0) / (counts[:, 0] + 2.0)
     low = 1.0 / (counts[:, 1] + 2.0)
-    shared = df.sparkSession.sparkContext.broadcast(weights)
+    shared, pieces = df.sparkSession.sparkContext.broadcast(weights), partitions(df)
 
     def sums(ab: np.ndarray) -> np.ndarray:
         def task(batches: Iterator[Rows]) -> np.ndarray:
@@ -339,7 +350,7 @@ def fit_sigmoids(
                     ]
             return out.ravel()
 
-        return sum_over_rows(df, ["cls", "fold"], task, 6 * count).reshape(6, count)
+        return sum_over_rows(df, ["cls", "fold"], task, 6 * count, pieces).reshape(6, count)
 
     def newton(s: np.ndarray) -> np.ndarray:
         h11, h12, h22 = s[3] + 1e-12, s[4], s[5] + 1e-12

@@ -46,20 +46,25 @@ def clean_columns(df: DataFrame, serving: bool = False) -> DataFrame:
 
     `serving` uses the literal request-time variants of requester, cause and handler.
     """
-    description = free_text(field(df, "description"))
-    number = fields.urgency_number(field(df, "urgence"))
+    raw = resolve_fields(df)
+    # Columns that others build on get a projection of their own, so they run once.
+    df = raw.withColumns({
+        "description": free_text(F.col("description")),
+        "urgence": fields.urgency_number(F.col("urgence")),
+    })
+    number = F.col("urgence")
     category = fields.at_serving if serving else fields.with_default
     name = fields.requester_at_serving if serving else fields.requester
     return df.select(
         field(df, "incident_id").alias("incident_id"),
-        description.alias("description"),
+        "description",
         fields.yes_no(label(field(df, "omv"))).alias("omv"),
         respell(label(field(df, "service")), SERVICE_SPELLING).alias("service_clean"),
         respell(label(field(df, "origine")), ORIGINE_SPELLING).alias("origine_clean"),
         category(field(df, "cause")).alias("cause"),
         category(field(df, "traite")).alias("traite"),
         name(field(df, "demandeur")).alias("demandeur"),
-        fields.city(description).alias("ville"),
+        fields.city(F.col("description")).alias("ville"),
         number.alias("urgence_num"),
         fields.urgency_category(number).alias("urgence_cat"),
     )

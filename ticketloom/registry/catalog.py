@@ -11,6 +11,18 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Written tables and trained models of this session, by scale and purpose, so that
+# later queries read them instead of making them again.
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(spark: SparkSession, sf: str, name: str, make: Callable[[], object]):
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under `name`, with the SQL that gives the same rows if there is one."""
 

@@ -13,7 +13,8 @@ from ticketloom.operators import evaluate, filters
 from ticketloom.operators.joins import lookup_service, service_decision
 from ticketloom.plans import clean
 from ticketloom.registry import oracle as o
-from ticketloom.registry.catalog import query
+from ticketloom.registry.catalog import kept, query
+from ticketloom.session import materialise
 from ticketloom.sources.agents import agent_services, team_members
 from ticketloom.sources.ingest import repair_cells
 from ticketloom.sources.requests import decode_requests, encode_request
@@ -55,6 +56,14 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_columns(fixtures.incidents(spark, sf))
 
 
+def tickets_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned tickets with the lookup as a written table, once per session and scale.
+
+    Features, splits and models start here, so their filters and columns reach the file scan.
+    """
+    return kept(spark, sf, "tickets", lambda: materialise(looked_up(spark, sf), "tickets"))
+
+
 def looked_up(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_tickets(fixtures.incidents(spark, sf), agents(spark, sf))
 

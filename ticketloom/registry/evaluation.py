@@ -11,7 +11,7 @@ from ticketloom.operators import evaluate, filters
 from ticketloom.plans import tuning
 from ticketloom.registry import oracle as o
 from ticketloom.registry.catalog import query
-from ticketloom.registry.cleaning import cleaned
+from ticketloom.registry.cleaning import tickets_table
 
 
 def binary(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,7 +121,7 @@ def graded(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def rule_results(spark: SparkSession, sf: str) -> DataFrame:
-    tickets = filters.trainable(cleaned(spark, sf), "omv")
+    tickets = filters.trainable(tickets_table(spark, sf), "omv")
     settings = F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(n).alias("classifier"), F.lit(t).alias("threshold")) for i, n, t in RULES
     ])
@@ -136,7 +136,7 @@ def rule_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ngram_results(spark: SparkSession, sf: str) -> DataFrame:
-    tickets = filters.trainable(cleaned(spark, sf), "omv")
+    tickets = filters.trainable(tickets_table(spark, sf), "omv")
     settings = F.array(*[
         F.struct(
             F.lit(i).alias("position"), F.lit(a).alias("low"), F.lit(b).alias("high"),

@@ -13,7 +13,7 @@ from ticketloom.operators.models import class_table
 from ticketloom.operators.ranking import class_join, folds, stratified_split
 from ticketloom.registry import oracle as o
 from ticketloom.registry.catalog import query
-from ticketloom.registry.cleaning import cleaned
+from ticketloom.registry.cleaning import tickets_table
 from ticketloom.session import materialise
 
 MULTI, OMV, ORIGINE = (ft.TEXT_CONFIGS[k] for k in ("multi", "omv", "origine"))
@@ -55,7 +55,7 @@ def token_rows(spark, sf):
     """Accent-free words of each ticket with their place."""
     words = tokens(F.col("description"), accents=False)
     placed = F.transform(words, lambda w, i: F.concat(w, F.lit("#"), (i + 1).cast("string")))
-    return cleaned(spark, sf).select(
+    return tickets_table(spark, sf).select(
         "incident_id", F.array_join(F.sort_array(placed), " ").alias("words")
     ).filter("words <> ''")
 
@@ -63,7 +63,7 @@ def token_rows(spark, sf):
 def ngram_query(name: str, config: ft.TextConfig) -> None:
     @query(name, o.sql("SELECT incident_id, term, count(*) AS tf FROM grams GROUP BY incident_id, term", "clean", grams=grams_of(config)))
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return ft.term_counts(cleaned(spark, sf), config).withColumn("tf", F.col("tf").cast("long"))
+        return ft.term_counts(tickets_table(spark, sf), config).withColumn("tf", F.col("tf").cast("long"))
 
 
 ngram_query("f1_ngrams_words_pairs", MULTI)
@@ -74,7 +74,7 @@ ngram_query("f1_ngrams_pairs_triples", OMV)
     "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ctf FROM counts GROUP BY term", "clean",
     grams=grams_of(MULTI), counts=o.COUNTS))
 def document_frequency(spark, sf):
-    return ft.document_frequency(ft.term_counts(cleaned(spark, sf), MULTI))
+    return ft.document_frequency(ft.term_counts(tickets_table(spark, sf), MULTI))
 
 
 def vocabulary_query(name: str, config: ft.TextConfig) -> None:
@@ -82,7 +82,7 @@ def vocabulary_query(name: str, config: ft.TextConfig) -> None:
         "SELECT term, df, ctf, round(idf, 6) AS idf FROM vocab", "clean",
         **{k: v for k, v in text_ctes(config).items() if k != "weights"}))
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        tickets = cleaned(spark, sf)
+        tickets = tickets_table(spark, sf)
         vocab = ft.vocabulary(ft.term_counts(tickets, config), config)
         return ft.with_idf(vocab, tickets.count()).withColumn("idf", F.round("idf", 6))
 
@@ -94,7 +94,7 @@ vocabulary_query("t1_vocabulary_pairs_triples", OMV)
 @query("f2_tfidf", o.sql(
     "SELECT incident_id, term, round(weight, 6) AS weight FROM weights", "clean", **text_ctes(MULTI)))
 def tfidf(spark, sf):
-    return weights_of(cleaned(spark, sf), MULTI).select(
+    return weights_of(tickets_table(spark, sf), MULTI).select(
         "incident_id", "term", F.round("weight", 6).alias("weight")
     )
 
@@ -102,7 +102,7 @@ def tfidf(spark, sf):
 @query("f2_tfidf_production", o.sql(
     "SELECT incident_id, term, round(weight, 6) AS weight FROM weights", "clean", **text_ctes(ORIGINE)))
 def tfidf_production(spark, sf):
-    return weights_of(cleaned(spark, sf), ORIGINE).select(
+    return weights_of(tickets_table(spark, sf), ORIGINE).select(
         "incident_id", "term", F.round("weight", 6).alias("weight")
     )
 
@@ -121,7 +121,7 @@ SPLIT = """SELECT *, rn <= ceil(CAST(0.2 AS DOUBLE) * n) AS is_test FROM (
     all_counts=o.COUNTS.replace("grams", "all_grams")))
 def fit_on_train(spark, sf):
     """Weights of all trainable tickets under a vocabulary fitted on the train side."""
-    rows = filters.trainable(cleaned(spark, sf), "omv").select("incident_id", "omv", "description")
+    rows = filters.trainable(tickets_table(spark, sf), "omv").select("incident_id", "omv", "description")
     split = materialise(stratified_split(rows, "omv"), "split")
     train = split.filter(~F.col("is_test"))
     return weights_of(split, OMV, fitted_vocabulary(train, OMV)).select(
@@ -133,7 +133,7 @@ def fit_on_train(spark, sf):
     "SELECT incident_id, round(sum(weight * weight), 6) AS length, count(*) AS terms FROM weights GROUP BY incident_id",
     "clean", **text_ctes(MULTI)))
 def norms(spark, sf):
-    return weights_of(cleaned(spark, sf), MULTI).groupBy("incident_id").agg(
+    return weights_of(tickets_table(spark, sf), MULTI).groupBy("incident_id").agg(
         F.round(F.sum(F.col("weight") * F.col("weight")), 6).alias("length"), F.count("*").alias("terms")
     )
 
@@ -143,7 +143,7 @@ def norms(spark, sf):
      FROM counts c JOIN vocab v ON v.term = c.term GROUP BY c.incident_id""", "clean",
     **{k: v for k, v in text_ctes(MULTI).items() if k != "weights"}))
 def vocabulary_join(spark, sf):
-    tickets = cleaned(spark, sf)
+    tickets = tickets_table(spark, sf)
     vocab = fitted_vocabulary(tickets, MULTI)
     known = ft.vocab_join(ft.term_counts(tickets, MULTI), vocab, MULTI.max_features)
     return known.groupBy("incident_id").agg(
@@ -159,7 +159,7 @@ CELLS = " UNION ALL ".join(
 @query("f4_one_hot", o.sql(f"SELECT incident_id, column_name, value, 1.0::DOUBLE AS weight FROM ({CELLS})", "clean"))
 def one_hot(spark, sf):
     """Long one-hot form: a dictionary of every value, joined back by column and value."""
-    tickets = cleaned(spark, sf)
+    tickets = tickets_table(spark, sf)
     dictionary = ft.category_dictionary(tickets, CATEGORY_COLUMNS)
     joined = ft.dim_join(
         ft.category_rows(tickets, CATEGORY_COLUMNS), dictionary, ["column_name", "value"],
@@ -172,7 +172,7 @@ def one_hot(spark, sf):
     f"SELECT column_name, value, count(*) AS n FROM (SELECT DISTINCT column_name, value FROM ({CELLS})) GROUP BY column_name, value", "clean"))
 def category_slots(spark, sf):
     """Every value has one slot of its own: slots run from 0 without a gap or a repeat."""
-    dictionary = ft.category_dictionary(cleaned(spark, sf), CATEGORY_COLUMNS)
+    dictionary = ft.category_dictionary(tickets_table(spark, sf), CATEGORY_COLUMNS)
     total, highest, distinct = dictionary.agg(
         F.count("*"), F.max("slot") + 1, F.count_distinct("slot")
     ).first()
@@ -186,7 +186,7 @@ def category_slots(spark, sf):
      ON d.column_name = t.column_name AND d.value = t.value GROUP BY t.incident_id""", "clean"))
 def unseen_categories(spark, sf):
     """A dictionary fitted on labelled tickets: values unseen there give nothing."""
-    tickets = cleaned(spark, sf)
+    tickets = tickets_table(spark, sf)
     dictionary = ft.category_dictionary(tickets.filter(F.col("omv").isNotNull()), CATEGORY_COLUMNS)
     joined = ft.dim_join(
         ft.category_rows(tickets, CATEGORY_COLUMNS), dictionary, ["column_name", "value"],
@@ -202,7 +202,7 @@ def unseen_categories(spark, sf):
       ON w.incident_id = c.incident_id""", "clean", **text_ctes(OMV)))
 def assembled(spark, sf):
     """One sparse row per ticket: text weights, then one slot per category column."""
-    tickets = cleaned(spark, sf)
+    tickets = tickets_table(spark, sf)
     model = ft.fit_features(tickets, CATEGORY_COLUMNS, OMV)
     rows = ft.transform(tickets, model)
     total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x)
@@ -213,7 +213,7 @@ def assembled(spark, sf):
 
 @query("f6_stratified_split", o.sql("SELECT incident_id, omv, is_test FROM split", "clean", split=SPLIT))
 def split(spark, sf):
-    rows = filters.trainable(cleaned(spark, sf), "omv").select("incident_id", "omv")
+    rows = filters.trainable(tickets_table(spark, sf), "omv").select("incident_id", "omv")
     return stratified_split(rows, "omv")
 
 
@@ -229,7 +229,7 @@ def split_quota(spark, sf):
     """SELECT incident_id, omv, CAST(row_number() OVER (PARTITION BY omv ORDER BY md5(incident_id || '|42'), incident_id) % 5 AS INT) AS fold
      FROM clean WHERE omv IS NOT NULL AND description <> ''""", "clean"))
 def fold_rows(spark, sf):
-    rows = filters.trainable(cleaned(spark, sf), "omv").select("incident_id", "omv")
+    rows = filters.trainable(tickets_table(spark, sf), "omv").select("incident_id", "omv")
     return folds(rows, "omv", 5)
 
 
@@ -237,7 +237,7 @@ def fold_rows(spark, sf):
     """SELECT incident_id, origine_clean, CAST(dense_rank() OVER (ORDER BY origine_clean) - 1 AS INT) AS cls
      FROM clean WHERE origine_clean IS NOT NULL""", "clean"))
 def label_codes(spark, sf):
-    rows = cleaned(spark, sf).select("incident_id", "origine_clean").filter("origine_clean IS NOT NULL")
+    rows = tickets_table(spark, sf).select("incident_id", "origine_clean").filter("origine_clean IS NOT NULL")
     return class_join(rows, class_table(rows, "origine_clean").select("origine_clean", "cls"), "origine_clean", "inner")
 
 
@@ -245,5 +245,5 @@ def label_codes(spark, sf):
     """SELECT service_clean, n, round(sum(n) OVER ()::DOUBLE / (count(*) OVER () * n), 6) AS weight FROM (
       SELECT service_clean, count(*) AS n FROM clean WHERE service_clean IS NOT NULL GROUP BY service_clean)""", "clean"))
 def class_weights(spark, sf):
-    rows = cleaned(spark, sf).filter("service_clean IS NOT NULL")
+    rows = tickets_table(spark, sf).filter("service_clean IS NOT NULL")
     return class_table(rows, "service_clean").select("service_clean", "n", F.round("weight", 6).alias("weight"))

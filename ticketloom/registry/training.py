@@ -17,31 +17,12 @@ from ticketloom.operators.features import TEXT_CONFIGS, as_vectors
 from ticketloom.operators.models import strongest_terms, text_coefficients, train_forest
 from ticketloom.plans import clean, scoring, training, tuning
 from ticketloom.plans.training import Cascade, Classifier, best_class
-from ticketloom.registry.catalog import query
-from ticketloom.registry.cleaning import agents
+from ticketloom.registry.catalog import kept, query
+from ticketloom.registry.cleaning import agents, tickets_table
 from ticketloom.session import materialise, scratch_path
 from ticketloom.sources.requests import encode_request
 from ticketloom.streaming import scoring as stream
 
-# Trained models and cleaned tables of this session, by scale and purpose, so that
-# the scoring queries load a model instead of training it again.
-_KEPT: dict[tuple, object] = {}
-
-
-def kept(spark: SparkSession, sf: str, name: str, make):
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _KEPT:
-        _KEPT[key] = make()
-    return _KEPT[key]
-
-
-def tickets_of(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned tickets with the lookup, written once; training reads them many times."""
-    return kept(spark, sf, "tickets", lambda: materialise(
-        clean.clean_tickets(fixtures.incidents(spark, sf), agents(spark, sf)), "tickets"
-    ))
-
-
 def cascade_tickets(spark: SparkSession, sf: str) -> DataFrame:
     return kept(spark, sf, "cascade tickets", lambda: materialise(
         clean.clean_for_cascade(fixtures.incidents(spark, sf)), "tickets"
@@ -52,7 +33,7 @@ def gate_models(
     spark: SparkSession, sf: str, min_samples: int = MIN_SAMPLES
 ) -> tuple[training.Trained, training.Trained]:
     """The production models for intervention and origin."""
-    tickets = tickets_of(spark, sf)
+    tickets = tickets_table(spark, sf)
     return tuple(
         kept(spark, sf, f"gate {target} {min_samples}",
              lambda t=target: training.train_gate(tickets, t, min_samples))
@@ -127,7 +108,7 @@ def calibrated_svc(spark, sf):
 
 @query("m3_random_forest")
 def random_forest(spark, sf):
-    split = training.split_tickets(tickets_of(spark, sf), "omv")
+    split = training.split_tickets(tickets_table(spark, sf), "omv")
     prepared = training.prepare(split, "omv", CATEGORY_COLUMNS, TEXT_CONFIGS["omv"])
     data = prepared.training_set(1)
     model = train_forest(as_vectors(data.rows, data.size), 100, 10, 1)
@@ -146,13 +127,13 @@ def cascade_gain(spark, sf):
 @query("e8_grid_search")
 def grid_search(spark, sf):
     """The whole grid of the three classifiers on the intervention label."""
-    return tuning.grid_search(tickets_of(spark, sf), "omv")
+    return tuning.grid_search(tickets_table(spark, sf), "omv")
 
 
 @query("e9_ngram_search")
 def ngram_search(spark, sf):
     """The whole n-gram, vocabulary and cost grid on the intervention label."""
-    return tuning.ngram_search(tickets_of(spark, sf), "omv")
+    return tuning.ngram_search(tickets_table(spark, sf), "omv")
 
 
 def flat_scores(scored: DataFrame) -> DataFrame:
@@ -168,7 +149,7 @@ def flat_scores(scored: DataFrame) -> DataFrame:
 def gate_scores(spark: SparkSession, sf: str, min_samples: int = MIN_SAMPLES) -> DataFrame:
     """Every ticket through gate, lookup and origin model."""
     omv, origine = gate_models(spark, sf, min_samples)
-    return scoring.score_gate(tickets_of(spark, sf), omv.classifier, origine.classifier)
+    return scoring.score_gate(tickets_table(spark, sf), omv.classifier, origine.classifier)
 
 
 @query("x1_score_tickets")
@@ -205,7 +186,7 @@ def score_multi(spark, sf):
 @query("x5_case_report")
 def case_report(spark, sf):
     """Labelled tickets as cases: what the models say against what was filed."""
-    tickets = tickets_of(spark, sf)
+    tickets = tickets_table(spark, sf)
     cases = filters.trainable(tickets, "omv").select(
         "incident_id", F.concat(F.lit("ticket "), "incident_id").alias("label"),
         F.col("omv").alias("expected_omv"),
@@ -236,6 +217,6 @@ def saved_model(spark, sf):
     path = scratch_path(spark, "model")
     gate_models(spark, sf)[0].classifier.save(spark, path)
     loaded = Classifier.load(spark, path)
-    return loaded.probabilities(tickets_of(spark, sf)).select(
+    return loaded.probabilities(tickets_table(spark, sf)).select(
         "incident_id", F.round(F.element_at("probabilities", -1), 6).alias("probability")
     )
