@@ -210,7 +210,7 @@ def clean_for_multi(spark, sf):
 @query("p6_column_fallback", o.sql("SELECT incident_id, omv, service_clean AS service, origine_clean AS origine FROM clean", "clean"))
 def column_fallback(spark, sf):
     """The clean names stand in where the raw headers are absent."""
-    only_clean = cleaned(spark, sf).select("incident_id", "omv", "service_clean", "origine_clean")
+    only_clean = tickets_table(spark, sf).select("incident_id", "omv", "service_clean", "origine_clean")
     return clean.resolve_fields(only_clean).select("incident_id", "omv", "service", "origine")
 
 
@@ -272,7 +272,7 @@ def decision(spark, sf):
 def cascade_alignment(spark, sf):
     from ticketloom.plans.training import align_omv
 
-    tickets = cleaned(spark, sf).select("incident_id", "origine_clean", "omv", "description")
+    tickets = tickets_table(spark, sf).select("incident_id", "origine_clean", "omv", "description")
     predicted = filters.trainable(tickets, "omv").select(
         "incident_id",
         F.when(F.length("description") % 2 == 0, "OUI").otherwise("NON").alias("omv_pred"),
@@ -287,7 +287,7 @@ def cascade_alignment(spark, sf):
 
 @query("p1_trainable_rows", o.sql("SELECT incident_id, omv FROM clean WHERE omv IS NOT NULL AND description <> ''", "clean"))
 def trainable_rows(spark, sf):
-    return filters.trainable(cleaned(spark, sf), "omv").select("incident_id", "omv")
+    return filters.trainable(tickets_table(spark, sf), "omv").select("incident_id", "omv")
 
 
 @query("p2_label_domain", o.sql(f"SELECT incident_id, {o.yes_no('(' + o.label('omv') + ')')} AS omv FROM incidents", "incidents"))
@@ -299,7 +299,7 @@ def label_domain(spark, sf):
 @query("p3_conditional_population", o.sql(
     "SELECT incident_id, origine_clean FROM clean WHERE origine_clean IS NOT NULL AND omv = 'OUI' AND description <> ''", "clean"))
 def conditional_population(spark, sf):
-    return filters.trainable(cleaned(spark, sf), "origine_clean", only_yes=True).select(
+    return filters.trainable(tickets_table(spark, sf), "origine_clean", only_yes=True).select(
         "incident_id", "origine_clean"
     )
 
@@ -311,7 +311,7 @@ MIN_CLASS = 30
     f"""SELECT incident_id, service_clean FROM (SELECT *, count(*) OVER (PARTITION BY service_clean) AS n
      FROM clean WHERE service_clean IS NOT NULL AND description <> '') WHERE n >= {MIN_CLASS}""", "clean"))
 def frequent(spark, sf):
-    rows = filters.trainable(cleaned(spark, sf), "service_clean").select("incident_id", "service_clean")
+    rows = filters.trainable(tickets_table(spark, sf), "service_clean").select("incident_id", "service_clean")
     return filters.frequent_classes(rows, "service_clean", MIN_CLASS)
 
 
@@ -322,7 +322,7 @@ def frequent(spark, sf):
      FROM (SELECT service_clean, count(*) AS n FROM clean WHERE service_clean IS NOT NULL AND description <> ''
       GROUP BY service_clean)""", "clean"))
 def filter_report(spark, sf):
-    rows = filters.trainable(cleaned(spark, sf), "service_clean")
+    rows = filters.trainable(tickets_table(spark, sf), "service_clean")
     return filters.class_filter_report(rows, "service_clean", MIN_CLASS)
 
 
@@ -330,7 +330,7 @@ def filter_report(spark, sf):
     f"""SELECT service_clean, count(*) AS n FROM clean WHERE service_clean IS NOT NULL AND description <> ''
      GROUP BY service_clean HAVING count(*) < {MIN_CLASS}""", "clean"))
 def rare(spark, sf):
-    rows = filters.trainable(cleaned(spark, sf), "service_clean")
+    rows = filters.trainable(tickets_table(spark, sf), "service_clean")
     return filters.rare_classes(rows, "service_clean", MIN_CLASS)
 
 
@@ -341,7 +341,7 @@ def rare(spark, sf):
 def membership(spark, sf):
     from ticketloom.operators.ranking import class_join
 
-    rows = cleaned(spark, sf).select("incident_id", "service_clean").filter("service_clean IS NOT NULL")
+    rows = tickets_table(spark, sf).select("incident_id", "service_clean").filter("service_clean IS NOT NULL")
     valid = filters.class_counts(rows, "service_clean").filter(F.col("n") >= MIN_CLASS).select("service_clean")
     kept = class_join(rows, valid, "service_clean", "left_semi").withColumn("part", F.lit("kept"))
     dropped = class_join(rows, valid, "service_clean", "left_anti").withColumn("part", F.lit("dropped"))
@@ -363,13 +363,13 @@ def rows_with_text(spark, sf):
 
 @query("a1_class_counts", o.sql("SELECT origine_clean, count(*) AS n FROM clean GROUP BY origine_clean", "clean"))
 def class_counts(spark, sf):
-    return filters.class_counts(cleaned(spark, sf), "origine_clean")
+    return filters.class_counts(tickets_table(spark, sf), "origine_clean")
 
 
 @query("a2_distinct_classes", o.sql(
     "SELECT count(DISTINCT service_clean) AS service_classes, count(DISTINCT origine_clean) AS origine_classes FROM clean", "clean"))
 def distinct_classes(spark, sf):
-    return cleaned(spark, sf).agg(
+    return tickets_table(spark, sf).agg(
         F.count_distinct("service_clean").alias("service_classes"),
         F.count_distinct("origine_clean").alias("origine_classes"),
     )
@@ -381,7 +381,7 @@ def distinct_classes(spark, sf):
      round(count(*) FILTER (omv = 'NON')::DOUBLE / count(*), 6) AS share_no
      FROM clean WHERE omv IS NOT NULL AND description <> ''""", "clean"))
 def balance(spark, sf):
-    out = evaluate.label_balance(filters.trainable(cleaned(spark, sf), "omv"))
+    out = evaluate.label_balance(filters.trainable(tickets_table(spark, sf), "omv"))
     return out.withColumns({c: F.round(c, 6) for c in ("share_yes", "share_no")})
 
 
@@ -397,4 +397,4 @@ def coverage(spark, sf):
 @query("a5_labelled_counts", o.sql(
     "SELECT count(service_clean) AS n_service_clean, count(origine_clean) AS n_origine_clean FROM clean", "clean"))
 def labelled(spark, sf):
-    return evaluate.labelled_counts(cleaned(spark, sf), "service_clean", "origine_clean")
+    return evaluate.labelled_counts(tickets_table(spark, sf), "service_clean", "origine_clean")
