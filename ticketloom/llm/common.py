@@ -8,8 +8,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.session import materialise
-
 # One Arrow batch holds at most this much, so long texts do not pile up in a Python worker.
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 * 1024 * 1024
@@ -26,6 +24,14 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit("").cast("binary"))
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def columns_of(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(name).to_pylist() for name in names]
 
@@ -69,7 +75,3 @@ def partitions_for(spark: SparkSession) -> int:
     """Partitions of an explicit shuffle: as many as the session gives its own."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-
-__all__ = [
-    "bounded_batches", "by_key", "columns_of", "materialise", "partitions_for", "record_batch", "utf8",
-]

@@ -6,11 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ticketloom.llm.bpe import encode_and_decode
+from ticketloom.llm.decontaminate import contamination
+from ticketloom.llm.quality import quality_rules
 from ticketloom.llm.simhash import simhash
+from ticketloom.llm.token_counts import token_counts
+from ticketloom.llm.warc import archived_pages
+from ticketloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    """Where this machine keeps the public tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -19,8 +36,73 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(_documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_documents(spark, sf_dir))
+
+
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_decode(_documents(spark, sf_dir), tokenizer_path(WORD_BPE))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With an empty cache, so that all the work is seen; a lasting job names a lasting path."""
+    cache = scratch_path(spark, "token-counts")
+    return token_counts(_documents(spark, sf_dir), tokenizer_path(BYTE_BPE), cache)
+
+
+def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return archived_pages(pages, scratch_path(spark, "warc"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op7_token_counts": op7_token_counts,
+    "op8_warc_archives": op8_warc_archives,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+_OP10 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bi AS (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(list_slice(w, i, i + 9), ' ') AS g FROM bi),
+ks AS (SELECT DISTINCT k FROM bw),
+di AS (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, ks WHERE len(w) >= k),
+dw AS (SELECT doc_id, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM di),
+h AS (SELECT DISTINCT doc_id, i, dw.k AS k, item_id FROM dw JOIN bw ON dw.g = bw.g AND dw.k = bw.k),
+p AS (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS pos FROM h),
+cov AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM p GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
+"""
+
+_OP8 = """
+WITH p AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+ORACLES: dict[str, str] = {
+    "op8_warc_archives": _OP8,
+    "op4_quality_rules": op4_quality_rules,
+    "op10_benchmark_decontamination": _OP10,
+}
