@@ -75,3 +75,14 @@ def partitions_for(spark: SparkSession) -> int:
     """Partitions of an explicit shuffle: as many as the session gives its own."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+
+# Hash slots of the filter below; it bounds what is broadcast, whatever the number of keys.
+SLOTS = 1 << 20
+
+
+def touched(rows: DataFrame, keys: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that may have a key of `keys`, and rows that surely have none, told apart without a shuffle."""
+    slot = F.pmod(F.xxhash64(*columns), F.lit(SLOTS))
+    name = fresh_name(rows, "slot")
+    slots = F.broadcast(keys.select(slot.alias(name)).distinct())
+    return rows.join(slots, slot == F.col(name), "left_semi"), rows.join(slots, slot == F.col(name), "left_anti")

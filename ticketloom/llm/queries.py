@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ticketloom.llm.bpe import encode_and_decode
+from ticketloom.llm.cotraining import classify
 from ticketloom.llm.decontaminate import contamination
+from ticketloom.llm.line_dedup import line_dedup
+from ticketloom.llm.passages import passage_dedup
 from ticketloom.llm.quality import quality_rules
 from ticketloom.llm.simhash import simhash
+from ticketloom.llm.suffix_dedup import suffix_dedup
 from ticketloom.llm.token_counts import token_counts
 from ticketloom.llm.warc import archived_pages
 from ticketloom.session import scratch_path
@@ -36,10 +40,22 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(_documents(spark, sf_dir))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_documents(spark, sf_dir))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
 
+def op5_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup(_documents(spark, sf_dir))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(_documents(spark, sf_dir), tokenizer_path(WORD_BPE))
 
@@ -55,17 +71,32 @@ def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(pages, scratch_path(spark, "warc"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_passage_dedup": op5_passage_dedup,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_token_counts": op7_token_counts,
     "op8_warc_archives": op8_warc_archives,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "pipeline": pipeline,
 }
 
 _OP10 = r"""
@@ -103,6 +134,9 @@ FROM f
 
 ORACLES: dict[str, str] = {
     "op8_warc_archives": _OP8,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": _OP10,
 }

@@ -21,8 +21,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ticketloom.llm.common import bounded_batches, by_key, columns_of, partitions_for, record_batch, utf8
+from ticketloom.llm.common import bounded_batches, by_key, fresh_name, partitions_for, record_batch, touched, utf8
 from ticketloom.llm.components import components
 from ticketloom.session import materialise
 
@@ -36,7 +37,6 @@ SMALL = 32
 QUERIES = 64
 PLANES_A_STEP = 12
 
-_FP = pa.schema([("row_id", pa.int64()), ("fp", pa.int64())])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -68,11 +68,17 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, texts = columns_of(batch, "row_id", "text")
-        values = np.array([fingerprint(t) for t in texts], np.uint64)
-        yield record_batch(_FP, ids, pa.array(_signed(values)))
+def _fingerprinter(words: int):
+    """Replaces the last column, the text's bytes, by its fingerprint."""
+
+    def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            values = np.array([fingerprint(t, words) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(_signed(values))], names=[*batch.schema.names[:-1], "fp"])
+
+    return fingerprints
 
 
 def _planes(values: np.ndarray) -> np.ndarray:
@@ -259,8 +265,16 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS, blocks: int = BLOC
     return rows.mapInArrow(_linker(radius), "a long, b long")
 
 
+def _named(classes: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """(fp, first): the smallest `first` of each fingerprint's component, from (fp, first)."""
+    roots = components(near_links(classes.select("fp"), radius, blocks))
+    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("smallest"))
+    return materialise(rooted.join(smallest, "root").select("fp", F.col("smallest").alias("first")), "components")
+
+
 def simhash(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-            radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+            radius: int = RADIUS, blocks: int = BLOCKS, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row for each row of `docs`.
 
     component_id is the smallest id whose fingerprint can be reached over links of at most `radius`
@@ -268,16 +282,36 @@ def simhash(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     its row and its links and never becomes a component's id; a component of null ids only has a
     null id. Repeated ids keep their rows. Other columns are not read. No rows give no rows.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("row_id"), utf8(text_column).alias("text"))
-    rows = materialise(rows.mapInArrow(_fingerprints, "row_id long, fp long"), "fingerprints")
-    classes = materialise(rows.groupBy("fp").agg(F.min("row_id").alias("first_id")), "classes")
-    roots = components(near_links(classes.select("fp"), radius, blocks))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = materialise(rooted.join(smallest, "root").select("fp", "component_id"), "components")
-    return rows.join(named, "fp", "left").select(
+    rows = materialise(rows.mapInArrow(_fingerprinter(words), "row_id long, fp long"), "fingerprints")
+    classes = materialise(rows.groupBy("fp").agg(F.min("row_id").alias("first")), "classes")
+    return rows.join(_named(classes, radius, blocks), "fp", "left").select(
         F.col("row_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        "component_id")
+        F.col("first").alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, words: int = 5) -> DataFrame:
+    """One row of `docs`, with all its columns, for each group of linked fingerprints.
+
+    The row with the smallest `doc_id` stays, null ids last; of rows with equal ids the first by a
+    digest of all columns, and of equal rows one. Texts without words are one group.
+    """
+    bounded_batches(docs.sparkSession)
+    name = fresh_name(docs, "place")
+    place = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("doc_id"),
+        F.md5(F.to_json(F.struct("*")).cast("binary")).alias("digest"))
+    rows = docs.select(place.alias("place"), utf8("text").alias("text"))
+    rows = materialise(rows.mapInArrow(
+        _fingerprinter(words), T.StructType([rows.schema["place"], T.StructField("fp", T.LongType())])), "fingerprints")
+    classes = materialise(rows.groupBy("fp").agg(F.min("place").alias("first")), "classes")
+    judged = materialise(
+        rows.join(_named(classes, radius, blocks), "fp").select("place", (F.col("place") == F.col("first")).alias("kept")), "judged")
+    dropped = judged.where("not kept").select("place").distinct()
+    placed = docs.withColumn(name, place)
+    maybe, sure = touched(placed, dropped.withColumnRenamed("place", name), name)
+    left = sure.union(maybe.join(dropped.withColumnRenamed("place", name), name, "left_anti"))
+    if not judged.where("kept").groupBy("place").count().where("count > 1").isEmpty():
+        left = left.dropDuplicates([name])
+    return left.select(*docs.columns)
