@@ -276,6 +276,23 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_bytes: int = MIN
         (first == place).alias("kept"))
 
 
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Takes the lines named by the last column out of `text`, and counts `n_chars` again."""
+    for batch in batches:
+        columns = dict(zip(batch.schema.names[:-1], batch.columns[:-1]))
+        texts = columns["text"].cast(pa.binary()).to_pylist()
+        lost = {row: set(gone) for row, gone in enumerate(batch.column(batch.num_columns - 1).to_pylist()) if gone}
+        for row, gone in lost.items():
+            texts[row] = b"\n".join(x for n, x in enumerate(texts[row].split(b"\n")) if n not in gone)
+        columns["text"] = pa.array(texts, pa.binary()).cast(columns["text"].type)
+        if "n_chars" in columns:
+            counts = columns["n_chars"].to_pylist()
+            for row in lost:
+                counts[row] = len(texts[row].decode("utf-8", "replace"))
+            columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
+        yield pa.RecordBatch.from_pydict(columns)
+
+
 def drop_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_bytes: int = MIN_BYTES) -> DataFrame:
     """`docs` with only the first line of each class; other lines and columns stay as they are.
 
@@ -288,14 +305,6 @@ def drop_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_bytes:
         F.count("*").alias("compared")).where(F.size("gone") > 0)
     key, gone = fresh_name(docs, "document"), fresh_name(docs, "gone")
     marks = removed.select(F.col("document").alias(key), F.struct("gone", "compared").alias(gone))
-    lined = docs.withColumn(key, _document(docs, key)).join(marks, key, "left").where(
+    marked = docs.withColumn(key, _document(docs, key)).join(marks, key, "left").where(
         F.col(gone).isNull() | (F.size(F.col(gone)["gone"]) < F.col(gone)["compared"]))
-    lines = F.split(F.col("text").cast("string"), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)["gone"])
-    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
-    changed = {"text": text}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(
-            F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return lined.withColumns(changed).select(*docs.columns)
+    return marked.select(*docs.columns, F.col(gone)["gone"].alias(gone)).mapInArrow(_without, docs.schema)

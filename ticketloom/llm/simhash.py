@@ -311,7 +311,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BL
     dropped = judged.where("not kept").select("place").distinct()
     placed = docs.withColumn(name, place)
     maybe, sure = touched(placed, dropped.withColumnRenamed("place", name), name)
-    left = sure.union(maybe.join(dropped.withColumnRenamed("place", name), name, "left_anti"))
+    left = sure.unionByName(maybe.join(dropped.withColumnRenamed("place", name), name, "left_anti"))
     if not judged.where("kept").groupBy("place").count().where("count > 1").isEmpty():
         left = left.dropDuplicates([name])
     return left.select(*docs.columns)
