@@ -60,7 +60,8 @@ def edit_distance(a, b):
 
 
 def document_order(doc):
-    return doc[0] is None, doc[0] or 0, hashlib.md5((doc[1] or "").encode()).hexdigest()
+    digest = xxhash.xxh64_intdigest((doc[1] or "").encode(), 42)
+    return doc[0] is None, doc[0] or 0, 42 if doc[1] is None else digest - (digest >> 63 << 64)
 
 
 def line_classes(docs, threshold=2, min_bytes=25):

@@ -40,6 +40,10 @@ def edit_distances(left: list[bytes], right: list[bytes], threshold: int) -> np.
     2 * threshold + 1 diagonals is one word (threshold up to 31).
     """
     out = np.full(len(left), threshold + 1, np.int64)
+    left, right = list(left), list(right)
+    for i, (a, b) in enumerate(zip(left, right)):
+        if abs(len(a) - len(b)) <= threshold:
+            left[i], right[i] = _core(a, b)
     sizes = np.array([[len(a), len(b)] for a, b in zip(left, right)], np.int64).reshape(-1, 2)
     close = np.flatnonzero(np.abs(sizes[:, 0] - sizes[:, 1]) <= threshold)
     close = close[np.argsort(sizes[close].max(axis=1), kind="stable")]
@@ -53,6 +57,19 @@ def edit_distances(left: list[bytes], right: list[bytes], threshold: int) -> np.
     return out
 
 
+def _core(a: bytes, b: bytes) -> tuple[bytes, bytes]:
+    """Both without their common start and end, which cost no edits."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return a[n:], b[n:]
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    start = int((x[:n] != y[:n]).argmax())
+    rest = n - start
+    differ = x[len(a) - rest :] != y[len(b) - rest :]
+    end = int(differ[::-1].argmax()) if differ.any() else rest
+    return a[start : len(a) - end], b[start : len(b) - end]
+
+
 def _matrix(texts: list[bytes], before: int, width: int) -> np.ndarray:
     out = np.full((len(texts), before + width), _PAD, np.uint16)
     for row, text in enumerate(texts):
@@ -103,19 +120,22 @@ def _banded(left: list[bytes], right: list[bytes], threshold: int) -> np.ndarray
     return result
 
 
+Id = tuple[int, int]
+
+
 class _Links:
     """Union-find over line ids."""
 
     def __init__(self) -> None:
-        self.parent: dict[bytes, bytes] = {}
+        self.parent: dict[Id, Id] = {}
 
-    def find(self, x: bytes) -> bytes:
+    def find(self, x: Id) -> Id:
         parent = self.parent
         while (p := parent.get(x, x)) != x:
             parent[x] = x = parent.get(p, p)
         return x
 
-    def link(self, x: bytes, y: bytes) -> None:
+    def link(self, x: Id, y: Id) -> None:
         x, y = self.find(x), self.find(y)
         if x != y:
             self.parent[max(x, y)] = min(x, y)
@@ -123,7 +143,7 @@ class _Links:
 
 def _link_small(groups: list[tuple], threshold: int, links: _Links) -> None:
     """Verify all pairs of small groups together; a group is (ids, texts, indexed, side)."""
-    pairs: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
+    pairs: dict[tuple[Id, Id], tuple[bytes, bytes]] = {}
     for ids, texts, indexed, side in groups:
         for i in range(len(ids)):
             for j in range(i):
@@ -163,7 +183,8 @@ def _verifier(threshold: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_key(batches, "bucket"):
             bucket = table["bucket"].to_numpy()
-            columns = [table[c].to_pylist() for c in ("id", "line", "indexed", "side")]
+            ids = list(zip(table["h"].to_pylist(), table["g"].to_pylist()))
+            columns = [ids, *(table[c].to_pylist() for c in ("line", "indexed", "side"))]
             links, small = _Links(), []
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]).tolist()
             for s, e in zip(starts, [*starts[1:], len(bucket)]):
@@ -173,15 +194,18 @@ def _verifier(threshold: int):
                 else:
                     _link_large(*group, threshold, links)
             _link_small(small, threshold, links)
+            found = [(*x, *links.find(x)) for x in links.parent]
             yield pa.RecordBatch.from_pydict({
-                "a": pa.array(list(links.parent), pa.binary()),
-                "b": pa.array([links.find(x) for x in links.parent], pa.binary())})
+                c: pa.array([x[i] for x in found], pa.int64()) for i, c in enumerate(("ah", "ag", "bh", "bg"))})
 
     return verify
 
 
-def _segment_keys(line: Column, threshold: int) -> Column:
-    """Array of (key, indexed): the line's segments, and the substrings that can match a shorter line's."""
+def _segment_keys(line: Column, threshold: int) -> list[tuple[Column, bool]]:
+    """(key, indexed): the line's segments, and the substrings that can match a shorter line's segment.
+
+    A key that the line is too short for is null.
+    """
     size, parts = F.octet_length(line), threshold + 1
     keys = []
     for less in range(threshold + 1):
@@ -196,49 +220,61 @@ def _segment_keys(line: Column, threshold: int) -> Column:
             for shift in range(low, high + 1):
                 key = F.xxhash64(F.lit(number), length, F.substring(line, start + shift, own))
                 inside = (start + shift >= 1) & (start + shift + own - 1 <= size)
-                keys.append(F.when(inside, F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("indexed"))))
-    return F.array_compact(F.array(*keys))
+                keys.append((F.when(inside, key), less == 0 and shift == 0))
+    return keys
 
 
 def _lines(docs: DataFrame, min_bytes: int, *columns: Column) -> DataFrame:
-    """One row for each line of at least `min_bytes`: the columns, `line_no` and `line` (bytes)."""
-    every = docs.select(*columns, F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
+    """One row for each line of at least `min_bytes`: the columns, `line_no` and `line` (bytes).
+
+    Whatever is taken of a document is made before its lines, else every line would make it again.
+    """
+    whole = docs.select(*columns, F.split(F.col("text").cast("string"), "\n").alias("lines"))
+    names = whole.columns[:-1]
+    every = whole.select(*names, F.posexplode("lines").alias("line_no", "line"))
     return every.withColumn("line", F.col("line").cast("binary")).where(F.octet_length("line") >= min_bytes)
 
 
-def _line_id(line: str) -> Column:
-    return F.unhex(F.md5(line))
+def _line_id() -> list[Column]:
+    """128 bits that name a line's content, as two numbers."""
+    return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit("line"), "line").alias("g")]
 
 
 def line_links(docs: DataFrame, threshold: int = THRESHOLD, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """(a, b): ids of distinct lines, linked enough to connect all within the threshold."""
+    """(a, b): ids (h, g) of distinct lines, linked enough to connect all within the threshold."""
     spark = docs.sparkSession
     bounded_batches(spark)
     lines = _lines(docs, min_bytes)
-    distinct = lines.select(_line_id("line").alias("id"), _segment_keys(F.col("line"), threshold).alias("keys"))
-    distinct = distinct.groupBy("id").agg(F.first("keys").alias("keys"))
-    keys = distinct.select("id", F.explode("keys").alias("k")).select(F.col("k.key").alias("key"), "k.indexed", "id")
+    keys = _segment_keys(F.col("line"), threshold)
+    names = [f"k{i}" for i in range(len(keys))]
+    # numbers only, so that copies of a line fall together in a hash table, before the shuffle
+    distinct = lines.select(*_line_id(), *[k.alias(n) for n, (k, _) in zip(names, keys)]).groupBy("h", "g").agg(
+        *[F.first(n).alias(n) for n in names])
+    each = F.array(*[F.struct(F.col(n).alias("key"), F.lit(i).alias("indexed")) for n, (_, i) in zip(names, keys)])
+    probes = distinct.select("h", "g", F.inline(each)).where("key is not null")
     together = Window.partitionBy("key")
-    met = keys.withColumn("lines", F.count("*").over(together)).withColumn("any", F.max("indexed").over(together))
-    met = materialise(met.where("lines > 1 and any").select("key", "indexed", "id", "lines"), "met")
-    texts, _ = touched(lines.select(_line_id("line").alias("id"), "line"), met, "id")
-    texts = texts.groupBy("id").agg(F.first("line").alias("line"))
+    met = probes.withColumn("lines", F.count("*").over(together)).withColumn("any", F.max("indexed").over(together))
+    met = materialise(met.where("lines > 1 and any").select("key", "indexed", "h", "g", "lines"), "met")
+    texts, _ = touched(lines.select(*_line_id(), "line"), met, "h", "g")
+    texts = texts.groupBy("h", "g").agg(F.first("line").alias("line"))
     parts = F.ceil(F.col("lines") / BUCKET).cast("int")
-    own = F.pmod(F.xxhash64(F.lit("part"), "id"), parts).cast("int")
+    own = F.pmod(F.xxhash64(F.lit("part"), "h"), parts).cast("int")
     homes = F.transform(F.sequence(F.lit(0), parts - 1), lambda o: F.struct(
         F.xxhash64("key", F.least(o, own), F.greatest(o, own)).alias("bucket"),
         F.when(o == own, F.lit(0)).when(own < o, F.lit(1)).otherwise(F.lit(2)).cast("byte").alias("side")))
-    rows = met.join(texts, "id").select("id", "line", "indexed", F.explode(homes).alias("home"))
-    rows = rows.select("home.bucket", "id", "line", "indexed", "home.side")
-    rows = rows.repartition(partitions_for(spark), "bucket").sortWithinPartitions("bucket", "id")
-    return rows.mapInArrow(_verifier(threshold), "a binary, b binary")
+    rows = met.join(texts, ["h", "g"]).select("h", "g", "line", "indexed", F.inline(homes))
+    rows = rows.repartition(partitions_for(spark), "bucket").sortWithinPartitions("bucket", "h", "g")
+    linked = rows.mapInArrow(_verifier(threshold), "ah long, ag long, bh long, bg long")
+    return linked.select(
+        F.struct(F.col("ah").alias("h"), F.col("ag").alias("g")).alias("a"),
+        F.struct(F.col("bh").alias("h"), F.col("bg").alias("g")).alias("b"))
 
 
 def _document(docs: DataFrame, name: str) -> Column:
     """Identity and order of a document: its id, nulls last, then its text."""
     return F.struct(
         F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("doc_id"),
-        F.md5(F.col("text").cast("binary")).alias("digest")).alias(name)
+        F.xxhash64(F.col("text").cast("binary")).alias("digest")).alias(name)
 
 
 def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -249,16 +285,17 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_bytes: int = M
     over edit distances of at most `threshold` bytes. Rows of `docs` with the same id and text are
     one document, so repeated rows do not remove each other's lines; null ids come last.
     """
-    roots = components(line_links(docs, threshold, min_bytes)).withColumnRenamed("node", "id")
+    roots = components(line_links(docs, threshold, min_bytes)).select("node.h", "node.g", "root")
     lines = _lines(docs, min_bytes, _document(docs, "document")).select(
-        "document", "line_no", F.octet_length("line").alias("n_bytes"), _line_id("line").alias("id"))
+        "document", "line_no", F.octet_length("line").alias("n_bytes"), *_line_id())
     lines = materialise(lines, "lines")
     place = F.struct("document", "line_no")
-    texts = lines.groupBy("id").agg(F.min(place).alias("first_same")).join(roots, "id", "left").withColumn(
-        "root", F.coalesce("root", "id"))
-    classes = texts.groupBy("root").agg(F.min("first_same").alias("first"))
-    named = materialise(texts.join(classes, "root").select("id", "first_same", "first"), "line-classes")
-    return lines.join(named, "id").select(
+    texts = lines.groupBy("h", "g").agg(F.min(place).alias("first_same"))
+    # most lines have no near partner and are a class by themselves
+    linked = materialise(texts.join(roots, ["h", "g"]), "linked")
+    firsts = linked.join(linked.groupBy("root").agg(F.min("first_same").alias("first")), "root").select("h", "g", "first")
+    named = texts.join(firsts, ["h", "g"], "left").withColumn("first", F.coalesce("first", "first_same"))
+    return lines.join(named, ["h", "g"]).select(
         "document", "line_no", "n_bytes", "first", (F.col("first_same") != place).alias("exact"))
 
 

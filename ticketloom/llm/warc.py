@@ -73,9 +73,12 @@ def _parse(data: bytes, start: int) -> tuple[dict, int]:
     fields = {}
     for line in data[start:head].split(b"\r\n")[1:]:
         name, found, value = line.partition(b":")
+        name = name.strip().lower().decode("latin-1")
         if not found:
             raise Damaged("header line without a name")
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        if name in fields:
+            raise Damaged("header field repeated")  # one record's header runs into the next
+        fields[name] = value.strip().decode("utf-8", "replace")
     try:
         body = head + len(_END)
         end = body + int(fields["content-length"])
