@@ -37,7 +37,8 @@ def objective(problem, w, dense, cls):
 ])
 def test_solution_is_a_minimum(data, problem):
     train, dense, cls = data
-    w = linear.fit(train.rows, 30, [problem], tol=1e-7)
+    w, report = linear.fit(train.rows, 30, [problem], tol=1e-7)
+    assert report.converged and report.passes > 0
     value, grad = objective(problem, w, dense, cls)
     assert np.abs(grad).max() < 1e-4
     # The gradient itself agrees with finite differences at another point.
@@ -53,14 +54,14 @@ def test_solution_is_a_minimum(data, problem):
 def test_reducers_and_groups_give_the_same(data, monkeypatch):
     train, _, _ = data
     problems = [p for f in range(5) for p in models.svc_problems(train.counts, f, 1.0)]
-    want = linear.fit(train.rows, 30, problems, 1e-5)
+    want, _ = linear.fit(train.rows, 30, problems, 1e-5)
     monkeypatch.setattr(linear, "MAX_GATHERED", 0)  # every pass through the block reducers
     monkeypatch.setattr(linear, "BLOCK", 50)
-    assert linear.fit(train.rows, 30, problems, 1e-5) == pytest.approx(want, abs=1e-6)
+    assert linear.fit(train.rows, 30, problems, 1e-5)[0] == pytest.approx(want, abs=1e-6)
     monkeypatch.undo()
     monkeypatch.setattr(linear, "MAX_COEFFICIENTS", 31 * 4)  # four problems at a time
     assert len(linear.groups(problems, 30)) == 4
-    assert linear.fit(train.rows, 30, problems, 1e-5) == pytest.approx(want, abs=1e-6)
+    assert linear.fit(train.rows, 30, problems, 1e-5)[0] == pytest.approx(want, abs=1e-6)
 
 
 def test_logistic_agrees_with_spark(data):
@@ -103,3 +104,19 @@ def test_too_few_rows_for_calibration(data):
     few = models.TrainingSet(train.rows.filter("cls < 2 OR incident_id < 6"), train.classes, train.counts, 30)
     with pytest.raises(ValueError):
         models.train_calibrated_svcs(few, [0.5])
+
+
+def test_shipped_tolerance_gives_stable_decimals(data):
+    train, _, _ = data
+    rows = train.rows.select("incident_id", "indices", "values")
+    for make in (lambda tol: models.train_calibrated_svcs(train, [0.5], tol=tol)[0], lambda tol: models.train_logistic(train, 2.0, tol)):
+        shipped, exact = make(models.TOLERANCE), make(1e-7)
+        assert shipped.converged and shipped.passes > 0
+        a, b = ([r.probabilities for r in linear.predict(rows, m).orderBy("incident_id").collect()] for m in (shipped, exact))
+        assert np.array(a) == pytest.approx(np.array(b), abs=5e-5)
+
+
+def test_a_fit_that_was_cut_short_says_so(data):
+    train, _, _ = data
+    _, report = linear.fit(train.rows, 30, [linear.Problem("hinge", 1, 2, (2.0, 0.5))], 1e-9, max_passes=2)
+    assert report.passes == 2 and not report.converged

@@ -88,7 +88,10 @@ TARGET_COLUMNS = {"omv": "omv", "service": "service_clean", "origine": "origine_
 
 # --- Fixed values: tuning grids ------------------------------------------------
 TUNING_GRIDS = {
-    "logreg": {"omv": {"C": [0.5, 1.0, 2.0, 5.0]}, "origine": {"C": [1.0, 2.0, 5.0, 10.0]}},
+    "logreg": {
+        "omv": {"C": [0.5, 1.0, 2.0, 5.0], "solver": ["liblinear", "saga"]},
+        "origine": {"C": [1.0, 2.0, 5.0, 10.0], "solver": ["saga"]},
+    },
     "linearsvc": {"omv": {"C": [0.1, 0.5, 1.0, 5.0]}, "origine": {"C": [0.1, 0.5, 1.0, 5.0]}},
     "random_forest": {
         "omv": {"num_trees": [100, 200], "max_depth": [None, 10], "min_leaf": [1, 3]},

@@ -148,7 +148,7 @@ def roc_auc(pred: DataFrame, *by: str) -> DataFrame:
     joined = counted.join(offsets, [*by, "range"])
     won = F.col("pos") * (F.col("below") + F.col("here") + F.col("neg") / 2)
     return joined.groupBy(*by).agg(
-        (F.sum(won) / (F.sum("pos") * F.sum("neg"))).alias("auc")
+        F.try_divide(F.sum(won), F.sum("pos") * F.sum("neg")).alias("auc")  # null for one class
     )
 
 

@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from ticketloom.constants import STOP_WORDS, UNKNOWN
 from ticketloom.functions.text import bind, term_frequencies
-from ticketloom.operators.joins import dim_join, is_small
+from ticketloom.operators.joins import BROADCAST_ROWS, dim_join, is_small
 from ticketloom.operators.ranking import rank_in_group
+from ticketloom.operators.vectorise import Lookup, vectorise
 from ticketloom.session import materialise, scratch_path
 
 ID = "incident_id"
@@ -67,13 +68,18 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, config: TextConfig) -> DataFrame:
-    """(term, df, ctf) of the most frequent terms; ties in term order."""
-    return (
-        document_frequency(counts)
-        .filter(F.col("df") >= config.min_df)
-        .orderBy(F.desc("ctf"), "term")
-        .limit(config.max_features)
-    )
+    """(term, df, ctf) of the most frequent terms; ties in term order.
+
+    The number of terms by frequency tells which frequency the cut falls on; only terms at least so
+    frequent, little more than `max_features`, are sorted.
+    """
+    frequent = materialise(document_frequency(counts).filter(F.col("df") >= config.min_df), "frequencies")
+    sizes = frequent.groupBy("ctf").agg(F.count("*").alias("n"))  # one row a distinct frequency
+    above = Window.orderBy(F.desc("ctf")).rowsBetween(Window.unboundedPreceding, -1)
+    lowest = sizes.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0))).filter(
+        F.col("above") < config.max_features).agg(F.min("ctf")).first()[0]
+    return frequent.filter(F.col("ctf") >= F.lit(0 if lowest is None else lowest)).orderBy(
+        F.desc("ctf"), "term").limit(config.max_features)
 
 
 def with_idf(vocab: DataFrame, n_docs: int) -> DataFrame:
@@ -224,8 +230,17 @@ def transform(
 ) -> DataFrame:
     """(incident_id, *keep, indices, values): one sparse row per ticket.
 
-    Unknown terms and categories add nothing; a ticket without any keeps empty arrays.
+    Unknown terms and categories add nothing; a ticket without any keeps empty arrays. A vocabulary
+    and a dictionary of bounded size travel to the tickets, which stay where they are. Larger ones,
+    or `counts` made earlier, are joined by ticket id.
     """
+    if counts is None and model.config.max_features <= MAX_BROADCAST_TERMS and model.n_categories <= BROADCAST_ROWS:
+        config = model.config
+        terms = term_frequencies(
+            F.col("description"), config.low, config.high, config.accents, STOP_WORDS if config.stop_words else None)
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)) for c in model.columns]
+        lookup = Lookup.of(model.vocab, model.dictionary, model.columns, model.n_terms)
+        return vectorise(tickets, list(dict.fromkeys([ID, *keep])), terms, cells, lookup)
     counts = term_counts(tickets, model.config) if counts is None else counts
     known = vocab_join(counts, model.vocab.select("term", "idf", "idx"), model.config.max_features)
     # One ticket's terms sit in one partition, so they collapse to one row before the shuffle.

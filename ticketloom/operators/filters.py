@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ticketloom.constants import YES
 from ticketloom.functions.fields import is_ruled_out
 from ticketloom.operators.ranking import class_join
+from ticketloom.session import materialise
 
 
 def trainable(tickets: DataFrame, target: str, only_yes: bool = False) -> DataFrame:
@@ -25,6 +26,7 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
 def frequent_classes(df: DataFrame, target: str, min_samples: int) -> DataFrame:
     """Rows whose class has at least `min_samples` rows."""
     valid = class_counts(df, target).filter(F.col("n") >= min_samples).select(target)
+    valid = materialise(valid, "classes")  # read for its size and for the join
     return class_join(df, valid, target, "left_semi")
 
 

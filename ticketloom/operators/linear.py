@@ -136,13 +136,14 @@ class Problem:
     """One training problem on the rows outside fold `fold` (-1 uses all rows).
 
     hinge and binary: class `cls` against the rest, `cost` = (positive, other).
-    softmax: all classes, `cost` per class.
+    softmax: all classes, `cost` per class. The hinge always penalises its intercept.
     """
 
     loss: str
     cls: int
     fold: int
     cost: tuple[float, ...]
+    penalised_intercept: bool = False
 
     @property
     def width(self) -> int:
@@ -254,22 +255,41 @@ def groups(problems: list[Problem], size: int) -> list[list[Problem]]:
     return out
 
 
+@dataclass
+class Report:
+    """How the problems of a fit ended: data passes, and the gradient that is left of each,
+    relative to the one at the start."""
+
+    passes: int
+    remaining: list[float]
+    tol: float
+
+    @property
+    def converged(self) -> bool:
+        return all(r <= self.tol for r in self.remaining)
+
+    @classmethod
+    def joined(cls, parts: list[Report]) -> Report:
+        return cls(max(p.passes for p in parts), [r for p in parts for r in p.remaining], parts[0].tol)
+
+
 def fit(
-    df: DataFrame, size: int, problems: list[Problem], tol: float, max_passes: int = 300
-) -> np.ndarray:
-    """Coefficients (size + 1) x columns of half the squared norm plus the weighted losses.
+    df: DataFrame, size: int, problems: list[Problem], tol: float, max_passes: int = 2000
+) -> tuple[np.ndarray, Report]:
+    """Coefficients (size + 1) x columns of half the squared norm plus the weighted losses, and a report.
 
     Every pass over the data serves all problems that still run. Problems are
     independent, so groups beyond the coefficient budget run one after another.
-    The hinge penalises its intercept, the logistic losses do not.
+    The logistic losses penalise their intercept only where the problem says so.
     """
     parts = groups(problems, size)
     if len(parts) > 1:
-        return np.hstack([fit(df, size, part, tol, max_passes) for part in parts])
+        done = [fit(df, size, part, tol, max_passes) for part in parts]
+        return np.hstack([w for w, _ in done]), Report.joined([r for _, r in done])
 
     columns, pieces = spans(problems), partitions(df)
     ridge = [
-        np.append(np.ones(size), 1.0 if p.loss == HINGE else 0.0)[:, None] for p in problems
+        np.append(np.ones(size), float(p.loss == HINGE or p.penalised_intercept))[:, None] for p in problems
     ]
     w = np.zeros((size + 1, columns[-1].stop))
     loss, first = loss_sums(df, w, problems, pieces)  # the norm term is zero at the start
@@ -279,9 +299,10 @@ def fit(
     move = [-g for g in grad]
     step = [1.0 / max(1.0, n) for n in norm]
     active = [j for j, n in enumerate(norm) if n > 0]
-    for _ in range(max_passes):
-        if not active:
-            break
+    restarted: set[int] = set()
+    passes = 0
+    while active and passes < max_passes:
+        passes += 1
         running = [problems[j] for j in active]
         trial = np.hstack([w[:, columns[j]] + step[j] * move[j] for j in active])
         new_loss, new_grad = loss_sums(df, trial, running, pieces)
@@ -296,6 +317,11 @@ def fit(
                 step[j] *= min(0.5, max(0.1, -step[j] * slope / fall))
                 if step[j] > 1e-12:
                     still.append(j)
+                elif j not in restarted:  # once more from here, straight down
+                    restarted.add(j)
+                    memory[j], move[j] = _Memory(), -grad[j]
+                    step[j] = 1.0 / max(1.0, float(np.linalg.norm(grad[j])))
+                    still.append(j)
                 continue
             fresh = new_grad[:, c] + ridge[j] * there
             memory[j].add((there - old).ravel(), (fresh - grad[j]).ravel())
@@ -305,7 +331,8 @@ def fit(
                 step[j] = 1.0
                 still.append(j)
         active = still
-    return w
+    left = [float(np.linalg.norm(g)) / n if n > 0 else 0.0 for g, n in zip(grad, norm)]
+    return w, Report(passes, left, tol)
 
 
 # ---------------------------------------------------------------------------
@@ -324,6 +351,7 @@ def fit_sigmoids(
 
     `counts` holds (positive, other) held-out rows per problem. Targets are
     smoothed by those counts. Newton steps from sums of five numbers a problem.
+    The second value says whether all of them reached their minimum.
     """
     count = len(problems)
     cls = np.array([p.cls for p in problems])
@@ -378,7 +406,7 @@ def fit_sigmoids(
             open_ &= (np.hypot(best[1], best[2]) > 1e-7) & (step > 1e-8)
     finally:
         shared.unpersist()
-    return ab
+    return ab, bool((np.hypot(best[1], best[2]) <= 1e-6 * np.maximum(1.0, counts.sum(axis=1))).all())
 
 
 # ---------------------------------------------------------------------------
@@ -402,6 +430,8 @@ class LinearModel:
     weights: np.ndarray = field(repr=False)  # (size + 1) x problems, intercept last
     sigmoids: np.ndarray | None = field(default=None, repr=False)
     folds: int = 1
+    converged: bool = True
+    passes: int = 0
 
     @property
     def size(self) -> int:
@@ -429,12 +459,15 @@ class LinearModel:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Coefficients as a table (feature, coefficients), the rest as one JSON line."""
-        rows = ((i, w.tolist()) for i, w in enumerate(self.weights))
-        spark.createDataFrame(list(rows), "feature int, coefficients array<double>").write.mode(
-            "overwrite"
-        ).parquet(f"{path}/coefficients")
+        width = self.weights.shape[1]
+        ends = pa.array(np.arange(len(self.weights) + 1, dtype=np.int32) * width)
+        table = pa.table({
+            "feature": pa.array(np.arange(len(self.weights), dtype=np.int32)),
+            "coefficients": pa.ListArray.from_arrays(ends, pa.array(self.weights.ravel()))})
+        spark.createDataFrame(table).write.mode("overwrite").parquet(f"{path}/coefficients")
         meta = {
             "kind": self.kind, "classes": self.classes, "folds": self.folds,
+            "converged": self.converged, "passes": self.passes,
             "sigmoids": None if self.sigmoids is None else self.sigmoids.tolist(),
         }
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode(
@@ -447,7 +480,9 @@ class LinearModel:
         rows = spark.read.parquet(f"{path}/coefficients").toArrow().sort_by("feature")
         table = np.array(rows.column("coefficients").to_pylist())
         sigmoids = None if meta["sigmoids"] is None else np.array(meta["sigmoids"])
-        return cls(meta["kind"], meta["classes"], table, sigmoids, meta["folds"])
+        return cls(
+            meta["kind"], meta["classes"], table, sigmoids, meta["folds"],
+            meta.get("converged", True), meta.get("passes", 0))
 
 
 def predict(features: DataFrame, model: LinearModel, out: str = "probabilities") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ from ticketloom.operators.features import FeatureModel, as_vectors
 from ticketloom.operators.ranking import class_join, folds
 from ticketloom.session import materialise
 
+# The gradient that may be left, relative to the one at the start. It makes the four decimals of a
+# probability stable; a test compares with a much smaller one.
+TOLERANCE = 1e-5
+
 # Labels live on the driver; more classes than this is a key column, not a target.
 MAX_CLASSES = 100_000
 
@@ -93,7 +98,7 @@ def svc_problems(counts: np.ndarray, fold: int, c: float) -> list[linear.Problem
 
 
 def train_calibrated_svcs(
-    data: TrainingSet, costs: list[float], k: int = FOLDS, tol: float = 1e-3
+    data: TrainingSet, costs: list[float], k: int = FOLDS, tol: float = TOLERANCE
 ) -> list[linear.LinearModel]:
     """One calibrated model per cost; all costs, folds and classes share every data pass."""
     per_fold = fold_counts(data, k)
@@ -107,18 +112,22 @@ def train_calibrated_svcs(
     )
     rows = data.rows.persist()
     try:
-        weights = linear.fit(rows, data.size, problems, tol)
-        sigmoids, at = [], 0
+        weights, report = linear.fit(rows, data.size, problems, tol)
+        sigmoids, at, settled = [], 0, True
         for part in linear.groups(problems, data.size):
             here = slice(at, at + len(part))
-            sigmoids.append(linear.fit_sigmoids(rows, weights[:, here], part, held[here]))
+            found, done = linear.fit_sigmoids(rows, weights[:, here], part, held[here])
+            sigmoids.append(found)
+            settled &= done
             at += len(part)
         table = np.vstack(sigmoids)
     finally:
         rows.unpersist()
     each = len(problems) // len(costs)
     return [
-        linear.LinearModel(linear.CALIBRATED, data.classes, weights[:, s], table[s], k)
+        linear.LinearModel(
+            linear.CALIBRATED, data.classes, weights[:, s], table[s], k,
+            settled and all(r <= tol for r in report.remaining[s]), report.passes)
         for s in (slice(i * each, (i + 1) * each) for i in range(len(costs)))
     ]
 
@@ -128,33 +137,37 @@ def train_calibrated_svcs(
 # ---------------------------------------------------------------------------
 
 def train_logistics(
-    data: TrainingSet, settings: list[tuple[float, int]], k: int = 1, tol: float = 1e-3
+    data: TrainingSet, settings: list[tuple[float, int]], k: int = 1, tol: float = TOLERANCE,
+    penalised_intercept: list[bool] | None = None,
 ) -> list[linear.LinearModel]:
-    """Balanced L2 logistic regressions, intercept not penalised, one per (C, held-out fold).
+    """Balanced L2 logistic regressions, one per (C, held-out fold).
 
-    Fold -1 trains on all rows. All settings share every data pass.
+    Fold -1 trains on all rows. All settings share every data pass. The intercept is penalised
+    only for the settings that `penalised_intercept` marks.
     """
+    marks = penalised_intercept or [False] * len(settings)
     per_fold = fold_counts(data, k) if any(f >= 0 for _, f in settings) else None
     problems = []
-    for c, fold in settings:
+    for (c, fold), mark in zip(settings, marks):
         counts = data.counts if fold < 0 else data.counts - per_fold[fold]
         cost = tuple(c * balanced(counts))
         if len(cost) == 2:
-            problems.append(linear.Problem(linear.BINARY, 1, fold, (cost[1], cost[0])))
+            problems.append(linear.Problem(linear.BINARY, 1, fold, (cost[1], cost[0]), mark))
         else:
-            problems.append(linear.Problem(linear.SOFTMAX, -1, fold, cost))
+            problems.append(linear.Problem(linear.SOFTMAX, -1, fold, cost, mark))
     rows = data.rows.persist()
     try:
-        weights = linear.fit(rows, data.size, problems, tol)
+        weights, report = linear.fit(rows, data.size, problems, tol)
     finally:
         rows.unpersist()
     return [
-        linear.LinearModel(linear.LOGISTIC, data.classes, weights[:, c])
-        for c in linear.spans(problems)
+        linear.LinearModel(
+            linear.LOGISTIC, data.classes, weights[:, c], converged=left <= tol, passes=report.passes)
+        for c, left in zip(linear.spans(problems), report.remaining)
     ]
 
 
-def train_logistic(data: TrainingSet, c: float, tol: float = 1e-3) -> linear.LinearModel:
+def train_logistic(data: TrainingSet, c: float, tol: float = TOLERANCE) -> linear.LinearModel:
     return train_logistics(data, [(c, -1)], tol=tol)[0]
 
 
@@ -176,13 +189,17 @@ def train_spark_logistic(data: TrainingSet, c: float, max_iter: int = 1000) -> l
 # Random forest
 # ---------------------------------------------------------------------------
 
+# Spark's deepest tree; "no limit" means this.
+DEEPEST = 30
+
+
 def train_forest(
     vectors: DataFrame, num_trees: int, max_depth: int | None, min_leaf: int, seed: int = SEED
 ):
     """Balanced random forest. No depth limit means Spark's deepest, 30."""
     return RandomForestClassifier(
         labelCol="cls", featuresCol="features", weightCol="weight", numTrees=num_trees,
-        maxDepth=30 if max_depth is None else max_depth, minInstancesPerNode=min_leaf,
+        maxDepth=DEEPEST if max_depth is None else max_depth, minInstancesPerNode=min_leaf,
         featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024,
     ).fit(vectors)
 
@@ -194,9 +211,9 @@ def train_forest(
 def text_coefficients(model: linear.LinearModel, features: FeatureModel) -> DataFrame:
     """(term, coefficient) of a binary model's text features."""
     spark = features.vocab.sparkSession
-    table = spark.createDataFrame(
-        list(enumerate(model.weights[: features.n_terms, 0].tolist())), "idx int, coefficient double"
-    )
+    table = spark.createDataFrame(pa.table({
+        "idx": pa.array(np.arange(features.n_terms, dtype=np.int32)),
+        "coefficient": pa.array(model.weights[: features.n_terms, 0])}))
     return features.vocab.join(F.broadcast(table), "idx").select("term", "coefficient")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketloom.session import materialise
+
 # Leading hex digits of an md5 that name a bucket: 16**4 buckets per group.
 BUCKET_DIGITS = 4
 
@@ -43,25 +45,47 @@ def rank_in_group(
     )
 
 
+def quota_cuts(df: DataFrame, group: list[str], id_col: str, test_size: float, seed: int) -> DataFrame:
+    """(group, _cut_order, _cut_id): the last row in hash order within ceil(test_size * n) of a group.
+
+    Counts per hash bucket tell in which bucket a group's quota ends; only the rows of that bucket
+    are ranked, by hash and id alone.
+    """
+    order = hash_order(id_col, seed)
+    keyed = df.select(*group, F.col(id_col).alias("_cut_id"), order.alias("_cut_order")).withColumn(
+        "_bucket", F.substring("_cut_order", 1, BUCKET_DIGITS))
+    counts = keyed.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy(*group)
+    upto = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = counts.withColumn("_upto", F.sum("_n").over(upto)).withColumn(
+        "_quota", F.ceil(F.lit(test_size) * F.sum("_n").over(whole)))
+    before = F.col("_upto") - F.col("_n")
+    last = ends.where((before < F.col("_quota")) & (F.col("_quota") <= F.col("_upto"))).select(
+        *group, "_bucket", (F.col("_quota") - before).alias("_need"))
+    within = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy("_cut_order", "_cut_id"))
+    return keyed.join(last, [*group, "_bucket"]).withColumn("_rank", within).where(
+        F.col("_rank") == F.col("_need")).select(*group, "_cut_order", "_cut_id")
+
+
 def stratified_split(
     df: DataFrame, label: str, id_col: str = "incident_id", test_size: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Add `is_test`: the first ceil(test_size * n) rows of each class in hash order.
 
-    If a class has one row only, the split ignores classes.
+    If a class has one row only, the split ignores classes. Rows are not moved: each is compared
+    with its class's last test row.
     """
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
-    smallest, total = sizes.agg(F.min("_n"), F.sum("_n")).first()
+    smallest = sizes.agg(F.min("_n")).first()[0]
+    own = F.struct(hash_order(id_col, seed), F.col(id_col))
     if smallest is not None and smallest < 2:
-        ranked = rank_in_group(df, [], hash_order(id_col, seed), id_col)
-        quota = F.ceil(F.lit(test_size) * F.lit(total))
-        return ranked.withColumn("is_test", F.col("rn") <= quota).drop("rn")
-    ranked = rank_in_group(df, [label], hash_order(id_col, seed), id_col)
-    return (
-        class_join(ranked, sizes, label, "inner")
-        .withColumn("is_test", F.col("rn") <= F.ceil(F.lit(test_size) * F.col("_n")))
-        .drop("rn", "_n")
-    )
+        last = quota_cuts(df, [], id_col, test_size, seed).first()
+        cut = F.struct(F.lit(last["_cut_order"]), F.lit(last["_cut_id"]).cast(df.schema[id_col].dataType))
+        return df.withColumn("is_test", own <= cut)
+    cuts = materialise(quota_cuts(df, [label], id_col, test_size, seed), "cuts")
+    joined = class_join(df, cuts, label, "inner")
+    is_test = F.coalesce(own <= F.struct("_cut_order", "_cut_id"), F.lit(False))
+    return joined.select(*df.columns, is_test.alias("is_test"))
 
 
 def folds(

@@ -11,11 +11,12 @@ from ticketloom.constants import (
 )
 from ticketloom.functions import fields
 from ticketloom.functions.text import edge_label, free_text, label, plain_label, respell
+from ticketloom.operators.identity import with_identity
 from ticketloom.operators.joins import lookup_service
 
 # Accepted column names of a field, best first.
 FIELD_NAMES = {
-    "incident_id": ["incident_id", INCIDENT_NUMBER],
+    "incident_id": ["incident_id"],
     "description": [RAW_DESCRIPTION],
     "omv": [RAW_OMV, "omv"],
     "service": [RAW_SERVICE, "service_clean"],
@@ -37,8 +38,14 @@ def field(df: DataFrame, name: str) -> Column:
 
 
 def resolve_fields(df: DataFrame) -> DataFrame:
-    """Project any accepted layout to the internal raw fields."""
-    return df.select(*[field(df, name).alias(name) for name in FIELD_NAMES])
+    """Project any accepted layout to the internal raw fields; tickets without an id get one."""
+    df = with_identity(df)
+    return df.select(*[field(df, name).alias(name) for name in FIELD_NAMES], *_number(df))
+
+
+def _number(df: DataFrame) -> list[Column]:
+    """The ticket number as a plain column, if the layout has one."""
+    return [F.col(f"`{c}`").alias("ticket_number") for c in df.columns if c in (INCIDENT_NUMBER, "ticket_number")]
 
 
 def clean_columns(df: DataFrame, serving: bool = False) -> DataFrame:
@@ -52,7 +59,7 @@ def clean_columns(df: DataFrame, serving: bool = False) -> DataFrame:
         "description": free_text(F.col("description")),
         "urgence": fields.urgency_number(F.col("urgence")),
     })
-    number = F.col("urgence")
+    urgency = F.col("urgence")
     category = fields.at_serving if serving else fields.with_default
     name = fields.requester_at_serving if serving else fields.requester
     return df.select(
@@ -65,8 +72,9 @@ def clean_columns(df: DataFrame, serving: bool = False) -> DataFrame:
         category(field(df, "traite")).alias("traite"),
         name(field(df, "demandeur")).alias("demandeur"),
         fields.city(F.col("description")).alias("ville"),
-        number.alias("urgence_num"),
-        fields.urgency_category(number).alias("urgence_cat"),
+        urgency.alias("urgence_num"),
+        fields.urgency_category(urgency).alias("urgence_cat"),
+        *_number(df),
     )
 
 
@@ -79,6 +87,7 @@ def clean_tickets(
 
 def clean_for_cascade(df: DataFrame) -> DataFrame:
     """The cascade's cleaning: edge trim and upper only; cause and handler may be null."""
+    df = with_identity(df)
     return df.select(
         field(df, "incident_id").alias("incident_id"),
         F.coalesce(field(df, "description"), F.lit("")).alias("description"),
@@ -92,6 +101,7 @@ def clean_for_cascade(df: DataFrame) -> DataFrame:
 
 def clean_for_binary(df: DataFrame) -> DataFrame:
     """The binary model's cleaning: service and origin default to unknown, label to 0/1."""
+    df = with_identity(df)
     return df.select(
         field(df, "incident_id").alias("incident_id"),
         F.coalesce(field(df, "description"), F.lit("")).alias("description"),
@@ -103,6 +113,7 @@ def clean_for_binary(df: DataFrame) -> DataFrame:
 
 def clean_for_multi(df: DataFrame) -> DataFrame:
     """The two-target model's cleaning: null labels stay null."""
+    df = with_identity(df)
     return df.select(
         field(df, "incident_id").alias("incident_id"),
         F.coalesce(field(df, "description"), F.lit("")).alias("description"),

@@ -16,6 +16,7 @@ from ticketloom.operators.features import (
     TEXT_CONFIGS, FeatureModel, TextConfig, fit_features, transform,
 )
 from ticketloom.operators.filters import frequent_classes, trainable
+from ticketloom.operators.identity import check_identity
 from ticketloom.operators.linear import LinearModel, predict
 from ticketloom.operators.models import (
     TrainingSet, train_calibrated_svcs, train_logistics, training_set,
@@ -71,7 +72,7 @@ def split_tickets(
     test_size: float = TEST_SIZE, seed: int = SEED,
 ) -> DataFrame:
     """Trainable tickets of frequent classes with `is_test`, written once."""
-    rows = trainable(tickets, label, only_yes)
+    rows = check_identity(trainable(tickets, label, only_yes))
     if min_samples:
         rows = frequent_classes(rows, label, min_samples)
     return materialise(stratified_split(rows, label, "incident_id", test_size, seed), "split")
@@ -180,7 +181,7 @@ def cross_validated_auc(
 
 def train_binary(tickets: DataFrame, c: float = 1.0) -> tuple[Trained, DataFrame]:
     """The binary model on text, service and origin; features are fitted on all rows."""
-    named = tickets.withColumn("label", F.when(F.col("target") == 1, YES).otherwise("NON"))
+    named = check_identity(tickets).withColumn("label", F.when(F.col("target") == 1, YES).otherwise("NON"))
     split = materialise(stratified_split(named, "label"), "split")
     prepared = prepare(split, "label", ["service", "origine"], TEXT_CONFIGS["binary"], "all")
     model, aucs = cross_validated_auc(prepared, c)

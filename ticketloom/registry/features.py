@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.constants import CATEGORY_COLUMNS
+from ticketloom import fixtures
+from ticketloom.constants import CATEGORY_COLUMNS, INCIDENT_NUMBER
 from ticketloom.functions.text import tokens
 from ticketloom.operators import features as ft
 from ticketloom.operators import filters
 from ticketloom.operators.models import class_table
 from ticketloom.operators.ranking import class_join, folds, stratified_split
+from ticketloom.plans import clean
 from ticketloom.registry import oracle as o
 from ticketloom.registry.catalog import query
-from ticketloom.registry.cleaning import tickets_table
+from ticketloom.registry.cleaning import agents, tickets_table
 from ticketloom.session import materialise
 
 MULTI, OMV, ORIGINE = (ft.TEXT_CONFIGS[k] for k in ("multi", "omv", "origine"))
@@ -211,6 +213,40 @@ def assembled(spark, sf):
     )
 
 
+ENTRIES = f"""SELECT incident_id, idx, round(weight, 6) AS weight FROM (
+  SELECT w.incident_id, v.idx, w.weight FROM weights w
+   JOIN (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM vocab) v ON v.term = w.term
+  UNION ALL SELECT x.incident_id, s.idx, 1.0 FROM ({CELLS}) x JOIN (
+   SELECT column_name, value, (SELECT count(*) FROM vocab) - 1
+    + row_number() OVER (ORDER BY md5(column_name || chr(31) || value), column_name || chr(31) || value) AS idx
+   FROM (SELECT DISTINCT column_name, value FROM ({CELLS}))) s ON s.column_name = x.column_name AND s.value = x.value)"""
+
+
+@query("f5_assembled_entries", o.sql(ENTRIES, "clean", **text_ctes(OMV)))
+def assembled_entries(spark, sf):
+    """Every entry of every sparse row: its index and its weight."""
+    tickets = tickets_table(spark, sf)
+    rows = ft.transform(tickets, ft.fit_features(tickets, CATEGORY_COLUMNS, OMV))
+    entries = rows.select("incident_id", F.explode(F.arrays_zip("indices", "values")).alias("x"))
+    return entries.select(
+        "incident_id", F.col("x.indices").cast("long").alias("idx"), F.round("x.values", 6).alias("weight"))
+
+
+@query("f5_assembled_repeated_numbers", o.sql(
+    f"""SELECT c.origine_clean, count(*) AS tickets, CAST(sum(coalesce(w.n, 0) + {len(CATEGORY_COLUMNS)}) AS BIGINT) AS filled
+     FROM clean c LEFT JOIN (SELECT incident_id, count(*) AS n FROM weights GROUP BY incident_id) w
+      ON w.incident_id = c.incident_id GROUP BY c.origine_clean""", "clean", **text_ctes(OMV)))
+def assembled_repeated_numbers(spark, sf):
+    """Tickets that share five ticket numbers: every one keeps its own row."""
+    raw = fixtures.incidents(spark, sf)
+    number = F.pmod(F.col("incident_id"), F.lit(5)).cast("string")
+    raw = raw.withColumn(INCIDENT_NUMBER, number).drop("incident_id")
+    tickets = materialise(clean.clean_tickets(raw, agents(spark, sf)), "tickets")
+    rows = ft.transform(tickets, ft.fit_features(tickets, CATEGORY_COLUMNS, OMV), "origine_clean")
+    return rows.groupBy("origine_clean").agg(
+        F.count("*").alias("tickets"), F.sum(F.size("indices")).alias("filled"))
+
+
 @query("f6_stratified_split", o.sql("SELECT incident_id, omv, is_test FROM split", "clean", split=SPLIT))
 def split(spark, sf):
     rows = filters.trainable(tickets_table(spark, sf), "omv").select("incident_id", "omv")

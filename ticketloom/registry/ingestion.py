@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ticketloom import fixtures
 from ticketloom.constants import NA_TOKENS, SOURCE_COLUMN
 from ticketloom.operators import evaluate
+from ticketloom.operators.identity import check_identity
 from ticketloom.plans import clean
 from ticketloom.registry import oracle as o
 from ticketloom.registry.catalog import query
@@ -177,6 +178,28 @@ def agents_from_files(spark, sf):
     return load_agents(spark, f"{folder}/*/*.txt")
 
 
+@query("s17_ticket_identity", o.sql(
+    """SELECT coalesce(service_clean, '') AS service, CASE incident_id % 3 WHEN 1 THEN 'repeated' ELSE 'none' END AS numbers,
+     count(*) AS tickets, count(*) AS ids FROM clean GROUP BY ALL""", "clean"))
+def ticket_identity(spark, sf):
+    """Files with blank, repeated and no ticket numbers: every ticket gets an id of its own."""
+    folder = scratch_path(spark, "numbers")
+    raw = raw_tickets(spark, sf)
+    a, b, c = LAYOUTS["a"], LAYOUTS["b"], LAYOUTS["c"]
+    files = []
+    for letter, headers, number in (("a", a, F.lit("")), ("b", b, F.lit("I-1")), ("c", c, None)):
+        part = raw.filter(F.col("layout") == letter).drop("layout")
+        part = part.drop("incident_id") if number is None else part.withColumn("incident_id", number)
+        write_csv(part.toDF(*(headers if number is not None else headers[1:])), f"{folder}/{letter}")
+        files += ingest.list_files(spark, f"{folder}/{letter}", ".csv")
+    tickets = clean.clean_columns(ingest.consolidate_files(spark, files)[0].drop(SOURCE_COLUMN))
+    # the ids of all files together are distinct, so counting them by group loses nothing
+    check_identity(tickets)
+    numbers = F.when(F.col("ticket_number") == "I-1", "repeated").otherwise("none")
+    return tickets.groupBy(F.coalesce("service_clean", F.lit("")).alias("service"), numbers.alias("numbers")).agg(
+        F.count("*").alias("tickets"), F.count_distinct("incident_id").alias("ids"))
+
+
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """(run_id, target, accuracy, f1_macro): runs are sources, targets differ in their truth."""
     pred = fixtures.run(spark, sf, fixtures.MULTI).join(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom import fixtures
-from ticketloom.constants import CATEGORY_COLUMNS, MIN_SAMPLES
+from ticketloom.constants import CATEGORY_COLUMNS, MIN_SAMPLES, TARGET_COLUMNS
 from ticketloom.operators import filters
 from ticketloom.operators.features import TEXT_CONFIGS, as_vectors
 from ticketloom.operators.models import strongest_terms, text_coefficients, train_forest
@@ -106,34 +106,47 @@ def calibrated_svc(spark, sf):
     )
 
 
-@query("m3_random_forest")
-def random_forest(spark, sf):
-    split = training.split_tickets(tickets_table(spark, sf), "omv")
-    prepared = training.prepare(split, "omv", CATEGORY_COLUMNS, TEXT_CONFIGS["omv"])
+def forest_predictions(spark: SparkSession, sf: str, target: str) -> DataFrame:
+    label = TARGET_COLUMNS[target]
+    split = training.split_tickets(tickets_table(spark, sf), label, target == "origine")
+    prepared = training.prepare(split, label, CATEGORY_COLUMNS, TEXT_CONFIGS[target])
     data = prepared.training_set(1)
     model = train_forest(as_vectors(data.rows, data.size), 100, 10, 1)
     scored = model.transform(as_vectors(prepared.test, data.size))
     return scored.select(
-        "incident_id", F.col("omv").alias("y"),
+        F.lit(target).alias("target"), "incident_id", F.col(label).alias("y"),
         best_class(vector_to_array("probability"), data.classes).alias("p"),
     )
 
 
+@query("m3_random_forest")
+def random_forest(spark, sf):
+    return forest_predictions(spark, sf, "omv").unionByName(forest_predictions(spark, sf, "origine"))
+
+
 @query("m4_cascade_gain")
 def cascade_gain(spark, sf):
     return cascade_models(spark, sf)[1]
 
 
+def both_targets(search, spark: SparkSession, sf: str) -> DataFrame:
+    parts = [
+        search(tickets_table(spark, sf), target).withColumn("target", F.lit(target))
+        for target in ("omv", "origine")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query("e8_grid_search")
 def grid_search(spark, sf):
-    """The whole grid of the three classifiers on the intervention label."""
-    return tuning.grid_search(tickets_table(spark, sf), "omv")
+    """The whole grid of the three classifiers on both targets."""
+    return both_targets(tuning.grid_search, spark, sf)
 
 
 @query("e9_ngram_search")
 def ngram_search(spark, sf):
-    """The whole n-gram, vocabulary and cost grid on the intervention label."""
-    return tuning.ngram_search(tickets_table(spark, sf), "omv")
+    """The whole n-gram, vocabulary and cost grid on both targets."""
+    return both_targets(tuning.ngram_search, spark, sf)
 
 
 def flat_scores(scored: DataFrame) -> DataFrame:

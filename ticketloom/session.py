@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import sys
 import tempfile
 import uuid
@@ -42,7 +43,7 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="ticketloom-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -76,6 +77,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return df if pieces >= cores else df.repartition(cores)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 * 1024 * 1024) -> None:
+    """Limit what one Arrow batch holds, so that long texts do not pile up in a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def ship_with_tasks(module: str) -> None:
     """Send the functions of `module` with each task, so workers need no installed package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

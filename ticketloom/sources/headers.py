@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import DataFrame
@@ -10,26 +11,29 @@ from pyspark.sql import functions as F
 from ticketloom.constants import HEADER_ALIASES, RAW_CAUSE, RAW_COLUMNS, RAW_TRAITE
 
 
+# What a header is compared by: runs of letters and digits of the decomposed, accent-free text.
+_ACCENTS = re.compile("[\u0300-\u036f]")
+_APART = re.compile(r"[\s_-]+")
+_OTHER = re.compile(r"[\W_]+")
+
+# Words that together tell a column whose header is none of the known ones.
+TELLING_WORDS = {RAW_TRAITE: {"traite", "par"}, RAW_CAUSE: {"cause", "reelle"}}
+
+
 def header_key(name: object) -> str:
-    """Comparable form of a header: lower, no accents, letters and digits, single spaces."""
+    """Comparable form of a header: lower case, no accents, no punctuation, words one blank apart."""
     if not isinstance(name, str):
         return ""
-    plain = unicodedata.normalize("NFKD", name.strip().lower()).translate({ord("_"): " ", ord("-"): " "})
-    kept = [c for c in plain if not unicodedata.combining(c) and (c.isalnum() or c.isspace())]
-    return " ".join("".join(kept).split())
+    plain = _ACCENTS.sub("", unicodedata.normalize("NFKD", name.lower()))
+    return " ".join(filter(None, (_OTHER.sub("", word) for word in _APART.split(plain))))
 
 
 def canonical_header(name: str) -> str:
     """The canonical header `name` stands for, or the trimmed name itself."""
-    trimmed = name.strip()
-    key = header_key(trimmed)
-    if key in HEADER_ALIASES:
-        return HEADER_ALIASES[key]
-    for parts, target in ((("traite", "par"), RAW_TRAITE), (("cause", "reelle"), RAW_CAUSE)):
-        if all(part in key for part in parts):
-            return target
-    exact = {c.upper() for c in RAW_COLUMNS}
-    return trimmed.upper() if trimmed.upper() in exact else trimmed
+    key = header_key(name)
+    told = (target for target, telling in TELLING_WORDS.items() if all(w in key for w in telling))
+    written = {c.upper(): c.upper() for c in RAW_COLUMNS}.get(name.strip().upper(), name.strip())
+    return HEADER_ALIASES.get(key) or next(told, written)
 
 
 def chosen_columns(headers: list[str]) -> dict[str, int]:
