@@ -239,7 +239,7 @@ def test_classifier_on_held_out_rows(spark):
     rng = random.Random(8)
     bad = ["nasty", "vile", "awful"]
     docs, truth = [], {}
-    for i in range(600):
+    for i in range(900):
         worst = i % 3 == 0
         words = [rng.choice(["alpha", "beta", "gamma", "delta", "one", "two"]) + str(rng.randrange(30)) for _ in range(60)]
         if worst:
@@ -248,12 +248,12 @@ def test_classifier_on_held_out_rows(spark):
         source = rng.choice(["s1", "s2"]) if rng.random() < 0.2 else "s1" if worst else "s2"
         docs.append((i, " ".join(words), "en", source, 0))
         truth[i] = not worst
-    labels = [(i, 1, 1) if i % 2 and not truth[i] else (i, int(truth[i]), 0) for i in range(300)]
-    labels += [(0, 1, 0), (None, 1, 0), (301, None, 0), (9999, 1, 0)]
+    labels = [(i, 1, 1) if i % 2 and not truth[i] else (i, int(truth[i]), 0) for i in range(600)]
+    labels += [(0, 1, 0), (None, 1, 0), (601, None, 0), (9999, 1, 0)]
     df, known = spark.createDataFrame([*docs, (None, None, None, None, None)], SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     got = cotraining.classify(df.withColumn("y", F.lit("x")).withColumn("raw", F.lit("x")), known).collect()
-    assert len(got) == 601 and all(0 <= r.score <= 1 for r in got)
-    held = [r for r in got if r.doc_id is not None and r.doc_id >= 300]
+    assert len(got) == 901 and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.doc_id is not None and r.doc_id >= 600]
     assert sum(r.kept == truth[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
