@@ -143,6 +143,13 @@ def _spans(found: np.ndarray, length: int) -> dict[str, np.ndarray]:
             "e": np.maximum.reduceat(e, begin)}
 
 
+def _stacked(*parts) -> pa.Array:
+    """Numbers of several arrays, one after the other."""
+    return pa.concat_arrays([
+        p.combine_chunks() if isinstance(p, pa.ChunkedArray) else p if isinstance(p, pa.Array) else pa.array(p, pa.int64())
+        for p in parts])
+
+
 def _finder(length: int, gram: int, buckets: int):
     def passed_on(held: list[np.ndarray]) -> pa.RecordBatch:
         found, first = _firsts(np.concatenate(held))
@@ -158,7 +165,7 @@ def _finder(length: int, gram: int, buckets: int):
         return pa.RecordBatch.from_pydict({
             "bucket": pa.array(np.r_[bucket[cuts], home]),
             "pack": pa.array([*packs, *[None] * n], pa.binary()),
-            **{k: pa.array([*[None] * len(packs), *spans[k].tolist()], pa.int64()) for k in ("hi", "lo", "s", "e")}})
+            **{k: _stacked(pa.nulls(len(packs), pa.int64()), spans[k]) for k in ("hi", "lo", "s", "e")}})
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -189,16 +196,16 @@ def _gatherer(length: int):
             other = np.r_[False, (found["c"][1:] != found["c"][:-1]) & (group[1:] == group[:-1])][: len(found)]
             several = np.bincount(group, other) > 0 if len(found) else np.zeros(0, bool)
             found = found[several[group]] if len(found) else found
-            none = lambda n: [None] * n
-            n, m, r = len(spans["s"]), len(found), ready.num_rows
             start = found["p"] - found["before"]
+            wanted = {"hi": found["hi"], "lo": found["lo"], "s": start, "e": start + found["span"] + length}
+            blank = pa.nulls(len(spans["s"]) + ready.num_rows, pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "h": pa.array([*none(n + r), *found["h"].view(np.int64).tolist()], pa.int64()),
-                "hi": pa.array([*spans["hi"].tolist(), *ready["hi"].to_pylist(), *found["hi"].tolist()], pa.int64()),
-                "lo": pa.array([*spans["lo"].tolist(), *ready["lo"].to_pylist(), *found["lo"].tolist()], pa.int64()),
-                "p": pa.array([*none(n + r), *found["p"].tolist()], pa.int64()),
-                "s": pa.array([*spans["s"].tolist(), *ready["s"].to_pylist(), *start.tolist()], pa.int64()),
-                "e": pa.array([*spans["e"].tolist(), *ready["e"].to_pylist(), *(start + found["span"] + length).tolist()], pa.int64())})
+                "h": _stacked(blank, found["h"].astype(np.int64)),
+                "hi": _stacked(spans["hi"], ready["hi"], wanted["hi"]),
+                "lo": _stacked(spans["lo"], ready["lo"], wanted["lo"]),
+                "p": _stacked(blank, found["p"]),
+                "s": _stacked(spans["s"], ready["s"], wanted["s"]),
+                "e": _stacked(spans["e"], ready["e"], wanted["e"])})
 
     return gather
 
