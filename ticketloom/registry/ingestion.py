@@ -86,9 +86,8 @@ def csv_scan(spark, sf):
 @query("s2_csv_or_workbook", o.sql(SCAN, "incidents"))
 def csv_or_workbook(spark, sf):
     folder = scratch_path(spark, "csv")
-    write_csv(raw_tickets(spark, sf).drop("layout").coalesce(1), folder)
-    path = ingest.list_files(spark, folder, ".csv")[0]
-    return ingest.read_tickets_or_workbook(spark, path, folder + "/absent.xlsx")
+    write_csv(raw_tickets(spark, sf).drop("layout"), folder)
+    return ingest.read_tickets_or_workbook(spark, folder, folder + "/absent.xlsx")
 
 
 def consolidated(spark: SparkSession, sf: str) -> DataFrame:

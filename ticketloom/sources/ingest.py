@@ -139,14 +139,15 @@ def consolidate_files(
 ) -> tuple[DataFrame, DataFrame]:
     """All readable files in the canonical columns plus the file name; the rest is reported.
 
-    Files with the same header row are one scan, so the plan grows with the
+    Each file is read by its own kind, so CSV files and workbooks may be mixed. Files with the same header row are one scan, so the plan grows with the
     number of layouts, not of files. A CSV file with a row that has too many
     cells is rejected as a whole; `check_rows` looks for those.
     """
-    if files and files[0].endswith(".xlsx"):
-        layouts, rejected = _workbook_layouts(spark, files)
-    else:
-        layouts, rejected = _csv_layouts(spark, files, multi_line)
+    books = [f for f in files if f.endswith(".xlsx")]
+    layouts, rejected = _csv_layouts(spark, [f for f in files if f not in set(books)], multi_line)
+    if books:
+        more, failed = _workbook_layouts(spark, books)
+        layouts, rejected = layouts + more, rejected + failed
     reports = [spark.createDataFrame(rejected, "file string, reason string")]
     parts = []
     for headers, rows in layouts:
