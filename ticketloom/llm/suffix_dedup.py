@@ -34,7 +34,7 @@ from ticketloom.session import materialise
 
 LENGTH = 100
 GRAM = 30
-GROUP = 2_000
+GROUP = 20_000
 PARTITION_BYTES = 128 * 1024 * 1024
 BUCKETS_A_PARTITION = 8
 _PIECE = 1 << 22  # windows hashed at once; places among them fit into 23 bits
