@@ -70,12 +70,16 @@ CITIES = [
 ]
 
 # --- Fixed values: French stop words -----------------------------------------
-STOP_WORDS = """
-a au aux avec car ce ceci cela ces cet cette dans de des donc du elle elles en entre et eux ici il
-ils je la là le les leur leurs lui lors ma mais me même mes mon ni nos notre nous on or ou où par
-pas plus pour puis qu que quand quel quelle quels quelles qui sa sans sauf se ses si son sur ta te
-tes ton tout tous toute toutes très trop tu un une via voir vos votre vous y à été être est sont
-""".split()
+STOP_WORDS = [
+    "a", "au", "aux", "avec", "car", "ce", "ceci", "cela", "ces", "cet", "cette", "dans", "de",
+    "des", "donc", "du", "elle", "elles", "en", "entre", "et", "eux", "ici", "il", "ils", "je",
+    "la", "là", "le", "les", "leur", "leurs", "lui", "lors", "ma", "mais", "me", "même", "mes",
+    "mon", "ni", "nos", "notre", "nous", "on", "or", "ou", "où", "par", "pas", "plus", "pour",
+    "puis", "qu", "que", "quand", "quel", "quelle", "quels", "quelles", "qui", "sa", "sans",
+    "sauf", "se", "ses", "si", "son", "sur", "ta", "te", "tes", "ton", "tout", "tous", "toute",
+    "toutes", "très", "trop", "tu", "un", "une", "via", "voir", "vos", "votre", "vous", "y",
+    "à", "été", "être", "est", "sont",
+]
 
 # --- Fixed values: model settings --------------------------------------------
 SEED = 42
