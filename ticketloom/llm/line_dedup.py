@@ -341,7 +341,10 @@ def drop_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_bytes:
         F.collect_list(F.when(F.col("first") != place, F.col("line_no"))).alias("gone"),
         F.count("*").alias("compared")).where(F.size("gone") > 0)
     key, gone = fresh_name(docs, "document"), fresh_name(docs, "gone")
-    marks = removed.select(F.col("document").alias(key), F.struct("gone", "compared").alias(gone))
-    marked = docs.withColumn(key, _document(docs, key)).join(marks, key, "left").where(
+    marks = materialise(removed.select(F.col("document").alias(key), F.struct("gone", "compared").alias(gone)), "marks")
+    # documents that lose no line stay where they are
+    maybe, whole = touched(docs.withColumn(key, _document(docs, key)), marks, key)
+    marked = maybe.join(marks, key, "left").where(
         F.col(gone).isNull() | (F.size(F.col(gone)["gone"]) < F.col(gone)["compared"]))
-    return marked.select(*docs.columns, F.col(gone)["gone"].alias(gone)).mapInArrow(_without, docs.schema)
+    rows = marked.select(*docs.columns, F.col(gone)["gone"].alias(gone)).mapInArrow(_without, docs.schema)
+    return rows.union(whole.select(*docs.columns))
