@@ -9,7 +9,7 @@ import pytest
 from odd_tables import SCHEMA, odd_rows, prose
 from pyspark.sql import functions as F
 
-from ticketloom.llm import line_dedup, passages, simhash, suffix_dedup
+from ticketloom.llm import line_dedup, passages, shingle_sets, simhash, suffix_dedup
 from ticketloom.llm.components import components
 
 
@@ -262,3 +262,38 @@ def test_passages_of_odd_rows(odd):
     assert found[11].n_repeated_words >= 70 and found[11].first_doc_ids == [10]
     assert all(r.n_repeated_words == 0 for r in got if r.doc_id == 7)
     assert [r.n_repeated_words for r in got if r.doc_id is None and r.n_words == 120] == [120]
+
+
+# --- similar shingle sets -----------------------------------------------------
+
+def five_word_similarity(a, b):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (brute.words(t.lower()) for t in (a, b))]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_fingerprints_find_similar_sets():
+    rng = np.random.default_rng(8)
+    met = 0
+    for _ in range(1500):
+        values = rng.integers(0, 1 << 63, 440).astype(np.uint64)
+        a, b = values[:396], values[44:]  # 352 of 440: exactly 0.8
+        met += bool((shingle_sets.bands(a) == shingle_sets.bands(b)).any())
+    assert met >= 1495  # 0.9996 expected
+
+
+@pytest.mark.parametrize("bucket", [1000, 4])
+def test_near_copies_of_similarity_08_go(spark, monkeypatch, bucket):
+    monkeypatch.setattr(shingle_sets, "BUCKET", bucket)
+    rng, rows = random.Random(9), []
+    for family in range(12):
+        words = prose(2000 + family, 200).split()
+        rows.append((len(rows), " ".join(words), "en", "a", 0))
+        for edits in (2, 3, 4, 8, 14):
+            copy = list(words)
+            for at in rng.sample(range(5, 195), edits):
+                copy[at] = f"edit{len(rows)}x{at}"
+            rows.append((len(rows), " ".join(copy), "en", "a", 0))
+    near = brute.closure(rows, lambda a, b: five_word_similarity(a[1], b[1]) >= 0.8)
+    assert 12 < len(set(near)) < 60
+    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(near))

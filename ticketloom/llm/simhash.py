@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from ticketloom.llm.common import bounded_batches, by_key, fresh_name, partitions_for, record_batch, touched, utf8
 from ticketloom.llm.components import components
+from ticketloom.llm.shingle_sets import SIMILARITY, similar_texts, text_id, with_bands
 from ticketloom.session import materialise
 
 SHINGLE_WORDS = 4
@@ -291,23 +292,34 @@ def simhash(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         F.col("first").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, words: int = 5) -> DataFrame:
-    """One row of `docs`, with all its columns, for each group of linked fingerprints.
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row of `docs`, with all its columns, for each group of similar texts.
 
-    The row with the smallest `doc_id` stays, null ids last; of rows with equal ids the first by a
-    digest of all columns, and of equal rows one. Texts without words are one group.
+    Texts are linked if their sets of five-word shingles (A-Z in lower case) have a Jaccard
+    similarity of at least `similarity`, verified for every pair that shares one of the fingerprints
+    of `shingle_sets`; a group is what the links connect. The row with the smallest `doc_id` stays,
+    null ids last; of rows with equal ids the first by a digest of all columns, and of equal rows
+    one. Texts of fewer than five words are one shingle, texts without words one group.
     """
     bounded_batches(docs.sparkSession)
     name = fresh_name(docs, "place")
     place = F.struct(
         F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("doc_id"),
         F.md5(F.to_json(F.struct("*")).cast("binary")).alias("digest"))
-    rows = docs.select(place.alias("place"), utf8("text").alias("text"))
-    rows = materialise(rows.mapInArrow(
-        _fingerprinter(words), T.StructType([rows.schema["place"], T.StructField("fp", T.LongType())])), "fingerprints")
-    classes = materialise(rows.groupBy("fp").agg(F.min("place").alias("first")), "classes")
+    rows = docs.select(place.alias("place"), utf8("text").alias("text")).select(
+        "place", *text_id("text"), F.octet_length("text").cast("long").alias("size"), "text")
+    kinds = T.StructType([*rows.schema.fields[:-1], T.StructField("keys", T.ArrayType(T.LongType()))])
+    rows = materialise(rows.mapInArrow(with_bands, kinds), "fingerprints")
+    classes = materialise(rows.groupBy("h", "g").agg(
+        F.min("place").alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys")), "classes")
+    texts = docs.select(utf8("text").alias("text")).select(*text_id("text"), "text")
+    roots = similar_texts(texts, classes, similarity).select("node.h", "node.g", "root")
+    rooted = classes.join(roots, ["h", "g"], "left").select(
+        "h", "g", F.col("first").alias("own"), F.coalesce("root", F.struct("h", "g")).alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("own").alias("first"))
+    named = materialise(rooted.join(smallest, "root").select("h", "g", "first"), "components")
     judged = materialise(
-        rows.join(_named(classes, radius, blocks), "fp").select("place", (F.col("place") == F.col("first")).alias("kept")), "judged")
+        rows.join(named, ["h", "g"]).select("place", (F.col("place") == F.col("first")).alias("kept")), "judged")
     dropped = judged.where("not kept").select("place").distinct()
     placed = docs.withColumn(name, place)
     maybe, sure = touched(placed, dropped.withColumnRenamed("place", name), name)
