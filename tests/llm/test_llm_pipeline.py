@@ -105,3 +105,7 @@ def test_registered_queries_cover_their_tables(spark, sf, name):
     else:
         assert rows == every
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_checking_sql_is_sql():
+    assert all(isinstance(sql, str) and "SELECT" in sql for sql in ORACLES.values())

@@ -134,9 +134,5 @@ FROM f
 
 ORACLES: dict[str, str] = {
     "op8_warc_archives": _OP8,
-    "op2_line_dedup": op2_line_dedup,
-    "op3_suffix_dedup": op3_suffix_dedup,
-    "op4_quality_rules": op4_quality_rules,
-    "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": _OP10,
 }
