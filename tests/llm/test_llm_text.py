@@ -233,6 +233,36 @@ def test_salvage_goes_on_after_damage(zipped):
     assert read(b"nothing here") == ([], [(0, 12)]) and read(b"") == ([], [])
 
 
+def numbers(data):
+    return [r["page_id"] for *_, r in warc.salvage(data) if r]
+
+
+def test_salvage_inside_a_member():
+    records = some_records(8, False)
+    hurt = bytearray(records[3])
+    hurt[-20] ^= 0xFF
+    lengths = [len(r) for r in records]
+    data = gzip.compress(b"".join([*records[:3], bytes(hurt), *records[4:]]), mtime=0)
+    found = list(warc.salvage(data + gzip.compress(records[0], mtime=0)))
+    assert [r["page_id"] for *_, r in found if r] == [0, 1, 2, 4, 5, 6, 7, 0]
+    gaps = [x for x in found if x[2]]
+    assert [x[:2] for x in gaps] == [(0, len(data))]
+    assert f"bytes {sum(lengths[:3])} to {sum(lengths[:4])} of the member" in gaps[0][2]
+
+
+@pytest.mark.parametrize("level", [0, 9])
+def test_salvage_before_a_break(level):
+    member = gzip.compress(b"".join(some_records(60, False)), level, mtime=0)
+    after = gzip.compress(some_records(1, False)[0], mtime=0)
+    for cut in (len(member) // 2, len(member) - 30):
+        found = numbers(member[:cut])
+        assert len(found) > 20 and found == list(range(len(found)))
+        joined = list(warc.salvage(member[:cut] + after))
+        assert [r["page_id"] for *_, r in joined if r] == [*found, 0]
+        assert [x[1] for x in joined if x[2]] == [cut] and joined[-1][:2] == (cut, cut + len(after))
+    assert numbers(member[:-8] + b"\0" * 8 + after) == [*range(60), 0]  # a wrong checksum
+
+
 # --- classifier ---------------------------------------------------------------
 
 def test_classifier_on_held_out_rows(spark):

@@ -4,7 +4,8 @@ Each record is a gzip member of its own. Spark's text sink writes the members, s
 any file system Spark can write; its line separator is an empty gzip member, which decompresses to
 nothing. The reader checks every member, header, length and payload digest. After a failed check it
 looks for the next valid member or version line, goes on there, and logs the bytes between as
-quarantined.
+quarantined. It does the same inside a member that holds several records, and reads what a member
+gives before its stream breaks.
 """
 
 from __future__ import annotations
@@ -118,29 +119,78 @@ def _member(data: memoryview, start: int) -> tuple[bytes, int]:
     return b"".join(out), at - len(inflate.unused_data)
 
 
-def _records_of(data: bytes) -> Iterator[dict]:
-    at = 0
+def _before_break(data: memoryview, start: int, size: int | None = None) -> tuple[bytes, int]:
+    """What a broken member gives before its stream fails, or its first `size` bytes, and where that ends."""
+    inflate, out, held, at, step = zlib.decompressobj(31), [], 0, start, _CHUNK
+    while at < len(data) and not inflate.eof and (size is None or held < size):
+        before = inflate.copy() if step > 1 else None
+        try:
+            piece = inflate.decompress(data[at : at + step])
+        except zlib.error:
+            if before is None:
+                break
+            piece = None
+        if before is not None and (piece is None or size is not None and held + len(piece) >= size):
+            inflate, step = before, 1  # the place lies in this chunk: byte by byte
+            continue
+        out.append(piece)
+        held += len(piece)
+        at = min(at + step, len(data))
+    return b"".join(out), at
+
+
+def _inside(data: bytes) -> Iterator[tuple[int, int, str | None, dict | None]]:
+    """(start, end, fault, record) of what a member holds; see `salvage`."""
+    at, lost, fault = 0, None, None
     while at < len(data):
-        found, at = _parse(data, at)
-        yield found
+        try:
+            one, end = _parse(data, at)
+        except Damaged as error:
+            if lost is None:
+                lost, fault = at, str(error)
+            at = data.find(b"WARC/1.", at + 1)
+            at = len(data) if at < 0 else at
+            continue
+        if lost is not None:
+            yield lost, at, fault, None
+            lost = None
+        yield at, end, None, one
+        at = end
+    if lost is not None:
+        yield lost, len(data), fault, None
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict | None]]:
     """(start, end, fault, record) of all that is in an archive, in order.
 
     Valid records have no fault. Byte ranges that had to be given up have a fault and no record;
-    what follows them is read on from the next member or version line that passes all checks.
+    what follows them is read on from the next member or version line that passes all checks. A
+    range given up inside a member has the member's range, and its fault names the bytes of the
+    member's content. Where a member's stream breaks, the records before the break are kept, and
+    the range given up begins where the last of them ends.
     """
     view, at = memoryview(data), 0
     lost, fault = None, None
     while at < len(data):
+        problem = None
         try:
             if data.startswith(_MAGIC, at):
-                inside, end = _member(view, at)
-                found = list(_records_of(inside))
+                try:
+                    inside, end = _member(view, at)
+                except Damaged as error:
+                    problem, (inside, _) = error, _before_break(view, at)
+                found = list(_inside(inside))
+                last = max((e for _, e, _, one in found if one), default=0)
+                if inside and not last:
+                    raise problem or Damaged(found[0][2])
+                if problem:
+                    if not last:
+                        raise problem
+                    found = [x for x in found if x[1] <= last]
+                    end = _before_break(view, at, last)[1]
             else:
                 one, end = _parse(data, at)
-                found = [one]
+                found = [(at, end, None, one)]
         except Damaged as error:
             if lost is None:
                 lost, fault = at, str(error)
@@ -150,9 +200,15 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict | None]]:
         if lost is not None:
             yield lost, at, fault, None
             lost = None
-        for one in found:
-            yield at, end, None, one
+        for s, e, gap, one in found:
+            yield at, end, gap and f"{gap}: bytes {s} to {e} of the member's content", one
         at = end
+        if problem and at < len(data):
+            lost, fault = at, str(problem)
+            later = [p for p in (data.find(_MAGIC, at), data.find(b"WARC/1.", at)) if p >= 0]
+            at = min(later, default=len(data))
+            if at == lost:
+                lost = None
     if lost is not None:
         yield lost, len(data), fault, None
 
