@@ -293,6 +293,17 @@ def test_classifier_without_labels(spark, odd, nothing):
     assert cotraining.classify(nothing, none).collect() == []
 
 
+def test_every_confident_document_teaches(spark, monkeypatch):
+    docs = [(i, f"{'nasty vile awful' if i % 2 else 'alpha beta gamma'} w{i % 7}", "en", "s1" if i % 2 else "s2", 0) for i in range(3200)]
+    docs.append(docs[-1])  # a repeated id teaches once
+    labels = [(i, 1 - i % 2, 0) for i in range(200)]
+    fitted, fit = [], cotraining._fit
+    monkeypatch.setattr(cotraining, "_fit", lambda rows, view: fitted.append(rows.count()) or fit(rows, view))
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert len(cotraining.classify(spark.createDataFrame(docs, SCHEMA), known).collect()) == 3201
+    assert fitted[-2:] == [fitted[0] + 3000] * 2
+
+
 # --- decontamination ----------------------------------------------------------
 
 ITEMS = [

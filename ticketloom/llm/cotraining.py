@@ -2,12 +2,13 @@
 
 One view is the text: its words and the ends of its words. The other is what is known about the
 page: source, language, length. Each view has its own logistic regression. In each round both score
-a pool of unlabelled documents, and the most confident labels of one view become training rows of
-the other. At the end each view's margin is calibrated on labelled rows that no round has used, and
-the calibrated log odds are added up, less the prior that both contain.
+all unlabelled documents, and every confident label of one view becomes a training row of the other.
+At the end each view's margin is calibrated on labelled rows that no round has used, and the
+calibrated log odds are added up, less the prior that both contain.
 
-Labelled rows and pool are samples of bounded size, in the order of a hash of the id; everything
-else, and every scored document, goes through the JVM's feature hashing row by row.
+Labelled rows are a sample of bounded size, in the order of a hash of the id. Unlabelled documents
+are scored and taught where they are, row by row: nothing of them is sampled, joined or sorted, but
+for rows that repeat an id.
 """
 
 from __future__ import annotations
@@ -20,13 +21,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketloom.llm.common import touched
 from ticketloom.session import materialise
 
 LABELLED = 20_000  # at most so many labelled rows
-POOL = 10_000  # at most so many unlabelled rows
 CALIBRATE = 4  # every so many-th labelled row, by hash, is kept for calibration
 ROUNDS = 2
-TAUGHT = 500  # at most so many rows a class, view and round are taught
 CONFIDENT = 0.95
 TEXT_SLOTS = 1 << 17
 PAGE_SLOTS = 1 << 12
@@ -95,28 +95,34 @@ def _line(rows: DataFrame, margin: str) -> tuple[float, float]:
     return float(model.coefficients[0]), float(model.intercept)
 
 
-def _confident(pool: DataFrame, model: LogisticRegressionModel, view: str) -> DataFrame:
-    """(doc_id, y): the rows of each class that a view is most sure of."""
-    margin = F.col(f"{view}_margin")
-    sure = math.log(CONFIDENT / (1 - CONFIDENT))
-    scored = _margin(model, view, pool).select("doc_id", f"{view}_margin")
-    good = scored.where(margin >= sure).orderBy(margin.desc(), "doc_id").limit(TAUGHT).select("doc_id", F.lit(1.0).alias("y"))
-    bad = scored.where(margin <= -sure).orderBy(margin, "doc_id").limit(TAUGHT).select("doc_id", F.lit(0.0).alias("y"))
-    return materialise(good.union(bad), "taught")
+def _taught(pool: DataFrame, models: list[LogisticRegressionModel], view: str) -> DataFrame:
+    """(doc_id, text, page, y): the rows that a view was sure of in any round, by the first that was."""
+    margin, sure = F.col(f"{view}_margin"), math.log(CONFIDENT / (1 - CONFIDENT))
+    rows = pool.select("doc_id", *VIEWS, F.lit(None).cast("double").alias("y"))
+    for model in models:
+        label = F.when(margin >= sure, 1.0).when(margin <= -sure, 0.0)
+        rows = _margin(model, view, rows).select("doc_id", *VIEWS, F.coalesce("y", label).alias("y"))
+    return rows.where("y is not null")
+
+
+def _unlabelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of `docs` whose id is not null and has no label, one for each id; few of them move."""
+    own = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
+    known = materialise(labels.select("doc_id").where("doc_id is not null").distinct(), "labelled-ids")
+    maybe, free = touched(own, known, "doc_id")
+    free = free.unionByName(maybe.join(known, "doc_id", "left_anti").select(*own.columns))
+    repeated = materialise(own.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    maybe, once = touched(free, repeated, "doc_id")
+    return once.unionByName(maybe.dropDuplicates(["doc_id"]))
 
 
 def train(docs: DataFrame, labels: DataFrame, metadata: list[str]) -> CoTrained:
     """Co-train on (doc_id, y) labels, of which 1 stands for a document worth keeping."""
     known = labels.where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.min("y").alias("y"))
     sample = materialise(_by_hash(known, LABELLED), "labelled")
-    others = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").join(
-        labels.select("doc_id"), "doc_id", "left_anti").distinct()
-    others = materialise(_by_hash(others, POOL), "pool-ids")
-    # both are of bounded size; a repeated id counts once
-    picked = sample.select("doc_id", "y").unionByName(others.select("doc_id", F.lit(None).cast("double").alias("y")))
-    chosen = docs.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rows = materialise(features(chosen, metadata).join(F.broadcast(picked), "doc_id"), "training")
-    labelled, pool = rows.where("y is not null"), rows.where("y is null")
+    # of bounded size; a repeated id counts once
+    chosen = docs.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    labelled = materialise(features(chosen, metadata).join(F.broadcast(sample), "doc_id"), "training")
     aside = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(CALIBRATE)) == 0
     fit, held = labelled.where(~aside), labelled.where(aside)
     counts = labelled.agg(F.count("*"), F.sum("y")).first()
@@ -124,17 +130,17 @@ def train(docs: DataFrame, labels: DataFrame, metadata: list[str]) -> CoTrained:
     prior = math.log((good + 1) / (total - good + 1))
     if any(part.select("y").distinct().count() < 2 for part in (fit, held)):
         return CoTrained({}, {}, prior)
-    taught = {view: fit.select("doc_id", "text", "page", "y") for view in VIEWS}
+    pool = features(_unlabelled(docs, labels), metadata)
+    own = fit.select("doc_id", *VIEWS, "y")
+    taught = {view: own for view in VIEWS}
+    made: dict[str, list[LogisticRegressionModel]] = {view: [] for view in VIEWS}
     for step in range(ROUNDS + 1):
         models = {view: _fit(taught[view], view) for view in VIEWS}
         if step == ROUNDS:
             break
         for view, other in (VIEWS, VIEWS[::-1]):
-            new = _confident(pool, models[view], view)
-            more = pool.drop("y").join(F.broadcast(new), "doc_id").select("doc_id", "text", "page", "y")
-            known_ids = taught[other].select("doc_id")
-            taught[other] = materialise(
-                taught[other].union(more.join(known_ids, "doc_id", "left_anti").select("doc_id", "text", "page", "y")), "taught-rows")
+            made[view].append(models[view])
+            taught[other] = own.union(_taught(pool, made[view], view))
     lines = {view: _line(_margin(models[view], view, held), f"{view}_margin") for view in VIEWS}
     return CoTrained(models, lines, prior)
 
