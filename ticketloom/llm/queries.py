@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketloom.llm.bpe import encode_and_decode
 from ticketloom.llm.cotraining import classify
 from ticketloom.llm.decontaminate import contamination
+from ticketloom.llm.hard_negatives import hard_negatives, quantised
 from ticketloom.llm.line_dedup import line_dedup
 from ticketloom.llm.passages import passage_dedup
 from ticketloom.llm.quality import quality_rules
@@ -79,6 +81,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth vector is an anchor; every seventh row's label is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), label.alias("label"), quantised("embedding").alias("vector"))
+    return hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this module
 
@@ -96,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc_archives": op8_warc_archives,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
     "pipeline": pipeline,
 }
 
@@ -132,7 +143,30 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+_OP11 = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id,
+  positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op8_warc_archives": _OP8,
     "op10_benchmark_decontamination": _OP10,
+    "op11_hard_negatives": _OP11,
 }
