@@ -16,6 +16,7 @@ from ticketloom.llm.passages import passage_dedup
 from ticketloom.llm.quality import quality_rules
 from ticketloom.llm.simhash import simhash
 from ticketloom.llm.suffix_dedup import suffix_dedup
+from ticketloom.llm.token_alignment import token_alignment
 from ticketloom.llm.token_counts import token_counts
 from ticketloom.llm.warc import archived_pages
 from ticketloom.session import scratch_path
@@ -25,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -89,6 +91,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows, F.col("id") % 100 == 0)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(_documents(spark, sf_dir), tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this module
 
@@ -107,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_alignment": op12_token_alignment,
     "pipeline": pipeline,
 }
 
