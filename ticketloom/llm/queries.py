@@ -12,6 +12,7 @@ from ticketloom.llm.cotraining import classify
 from ticketloom.llm.decontaminate import contamination
 from ticketloom.llm.hard_negatives import hard_negatives, quantised
 from ticketloom.llm.line_dedup import line_dedup
+from ticketloom.llm.main_text import main_text
 from ticketloom.llm.passages import passage_dedup
 from ticketloom.llm.quality import quality_rules
 from ticketloom.llm.simhash import simhash
@@ -95,6 +96,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment(_documents(spark, sf_dir), tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this module
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_token_alignment": op12_token_alignment,
+    "op13_main_text": op13_main_text,
     "pipeline": pipeline,
 }
 
