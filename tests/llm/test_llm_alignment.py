@@ -48,7 +48,8 @@ def test_many_chunks_give_the_same(spark, odd, monkeypatch, hot):
 
 def test_units_are_forgotten_without_harm(spark, odd, monkeypatch):
     monkeypatch.setattr(token_alignment, "CACHED", 20)
-    monkeypatch.setattr(token_alignment, "CACHED_LENGTH", 3)
+    monkeypatch.setattr(token_alignment, "RUN", 50)
+    monkeypatch.setattr(token_alignment, "TOGETHER", 500)
     _equal(odd)
 
 

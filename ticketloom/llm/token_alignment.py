@@ -34,8 +34,10 @@ from ticketloom.session import materialise
 
 # A chunk ends when its documents have so many pairs, each counted once a document.
 CHUNK_PAIRS = 1 << 19
-# So many units at most are remembered in a task, and none longer than this.
-CACHED, CACHED_LENGTH = 100_000, 64
+# So many units at most are remembered in a task, and about so many of their pairs.
+CACHED, CACHED_PAIRS = 300_000, 1 << 22
+RUN = 100_000  # characters of units that are encoded as one text
+TOGETHER = 1 << 20  # characters of texts that are aligned in one step
 # Pairs in more chunks than one in HOT of all rows are looked up by broadcast: at most HOT pairs.
 HOT = 100_000
 _BLANK_RUN = re.compile(r" \s")
@@ -86,49 +88,17 @@ def identity_map(first: list[bytes], second: list[bytes]) -> np.ndarray:
     return np.array([by_bytes.get(entry, -1) if entry else -1 for entry in first], np.int64)
 
 
-class Unit:
-    """One unit's alignment: token and group counts, its groups as text, and its different pairs
-    (`keys` with `times` links each); `fits` says whether B's bytes are the text's."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "n_links", "groups", "keys", "times", "fits")
-
-    def __init__(self, a: list[int], b: list[int], whole: bytes, first: list[bytes], second: list[bytes]) -> None:
-        self.fits = b"".join([second[x] for x in b]) == whole and b"".join([first[x] for x in a]) == whole
-        self.n_a, self.n_b, self.n_groups, self.n_links = len(a), len(b), 0, 0
-        self.groups, found = [], {}
-        if self.fits:
-            self._align(a, b, first, second, found)
-        self.groups = ";".join(self.groups)
-        self.keys = np.fromiter(found.keys(), np.int64, len(found))
-        self.times = np.fromiter(found.values(), np.int64, len(found))
-
-    def _align(self, a: list[int], b: list[int], first: list[bytes], second: list[bytes], found: dict[int, int]) -> None:
-        i = j = at_a = at_b = 0
-        width = len(second)
-        while i < len(a) or j < len(b):
-            begin_a, begin_b = i, j
-            while i == begin_a or j == begin_b or at_a != at_b:
-                # tokens without bytes belong to the group that begins with them
-                if at_a <= at_b and i < len(a):
-                    at_a += len(first[a[i]])
-                    i += 1
-                elif j < len(b):
-                    at_b += len(second[b[j]])
-                    j += 1
-                else:
-                    break
-            mine, its = a[begin_a:i], b[begin_b:j]
-            self.groups.append(f"{','.join(map(str, mine))}|{','.join(map(str, its))}")
-            self.n_groups += 1
-            self.n_links += len(mine) * len(its)
-            for x in mine:
-                for y in its:
-                    key = x * width + y
-                    found[key] = found.get(key, 0) + 1
+def _odd(unit: str) -> bool:
+    """Whether the unit must be encoded by itself: blanks at its end or white space at its beginning."""
+    return unit[-1].isspace() or unit[1].isspace()
 
 
 class Aligner:
-    """Aligns whole texts; both libraries are loaded from files' contents in the task."""
+    """Aligns whole texts; both libraries are loaded from files' contents in the task.
+
+    Units that are known keep their figures (A tokens, B tokens, groups), the pairs of their links
+    as numbers A id * width + B id, and their groups as text.
+    """
 
     def __init__(self, first: bytes, second: bytes) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -141,32 +111,112 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         self.first, self.second = byte_level_entries(first), piece_entries(self.b)
+        self.width = len(self.second)
         self.same = identity_map(self.first, self.second)
-        self.known: dict[str, Unit] = {}
-
-    def _new(self, units: list[str]) -> list[Unit]:
-        """`units` begin with a blank, which B adds itself."""
-        a = self.a.encode_batch_fast(units, add_special_tokens=False)
-        b = self.b.encode([u[1:] for u in units], num_threads=1)
-        return [Unit(x.ids, y, u.encode(), self.first, self.second) for x, y, u in zip(a, b, units)]
-
-    def units(self, text: str) -> list[Unit]:
-        """The units of a text that is not empty, in order."""
-        if _BLANK_RUN.search(text) or text[0] == " " or text[-1] == " " or text[0].isspace():
-            parts = _BLANK.split(" " + text)
-            names = [" " + p for p in parts[1:]] if not parts[0] else [parts[0], *(" " + p for p in parts[1:])]
-        else:
-            names = [" " + p for p in text.split(" ")]
-        known = self.known
-        new = [n for n in dict.fromkeys(names) if n not in known]
-        if not new:
-            return [known[n] for n in names]
-        if len(known) + len(new) > CACHED:
-            known.clear()
-            new = list(dict.fromkeys(names))
-        made = dict(zip(new, self._new(new)))
-        known.update((n, u) for n, u in made.items() if len(n) <= CACHED_LENGTH)
-        return [made[n] if n in made else known[n] for n in names]
+        self.lengths = [np.array(list(map(len, x)), np.int64) for x in (self.first, self.second)]
+        names = [str(i).encode() for i in range(max(len(self.first), self.width))]
+        self.name_lengths = np.array(list(map(len, names)))
+        self.names = np.zeros((len(names), int(self.name_lengths.max()) + 1), np.uint8)
+        for at, name in enumerate(names):
+            self.names[at, : len(name)] = list(name)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.figures = np.zeros((0, 3), np.int64)
+        self.begin, self.links = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pairs = np.zeros(0, np.int64)
+        self.fits = np.zeros(0, bool)
+
+    def _learn(self, units: list[str]) -> None:
+        """Add units that are not known. Those that may stand side by side are encoded as one text."""
+        runs, size = [[]], 0
+        for unit in units:
+            if _odd(unit):
+                runs.insert(0, [unit])
+                continue
+            size += len(unit)
+            if size > RUN:
+                runs.append([])
+                size = len(unit)
+            runs[-1].append(unit)
+        runs = [r for r in runs if r]
+        texts = ["".join(r) for r in runs]  # all begin with a blank, which B adds itself
+        found = zip(runs, texts, self.a.encode_batch_fast(texts, add_special_tokens=False),
+                    self.b.encode([t[1:] for t in texts], num_threads=1))
+        parts = []
+        for run, text, a, b in found:
+            parts += self._aligned(run, text.encode(), a.ids, b)
+        figures, pairs, links, fits = zip(*parts)
+        self.figures = np.concatenate([self.figures, *figures])
+        self.begin = np.concatenate([self.begin, *(len(self.pairs) + np.cumsum([0, *np.concatenate(links)])[:-1],)])
+        self.links = np.concatenate([self.links, *links])
+        self.pairs = np.concatenate([self.pairs, *pairs])
+        self.fits = np.concatenate([self.fits, *fits])
+
+    def _aligned(self, run: list[str], whole: bytes, a: list[int], b: list[int]) -> list[tuple]:
+        """(figures, pairs, links of each unit, whether it fits) of units that follow each other."""
+        if b"".join([self.second[x] for x in b]) != whole or b"".join([self.first[x] for x in a]) != whole:
+            if len(run) > 1:  # find the units at fault
+                out = []
+                for unit in run:
+                    ids = self.a.encode(unit, add_special_tokens=False).ids
+                    out += self._aligned([unit], unit.encode(), ids, self.b.encode(unit[1:]))
+                return out
+            self._name(run, [""])
+            return [(np.zeros((1, 3), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(1, bool))]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        end_a, end_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        of_a, of_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        n_a, n_b = np.bincount(of_a), np.bincount(of_b)
+        begin_a, begin_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        # every A token with every B token of its group
+        many = n_b[of_a]
+        place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin_b[of_a], many)
+        pairs = np.repeat(a, many) * self.width + b[place]
+        ends = np.cumsum([len(u.encode()) for u in run])
+        unit = np.searchsorted(ends, cuts)
+        figures = np.stack([np.bincount(unit, x, len(run)) for x in (n_a, n_b, np.ones(len(cuts)))], 1).astype(np.int64)
+        links = np.bincount(unit, n_a * n_b, len(run)).astype(np.int64)
+        # ids in the order of the text form, each followed by its separator
+        ids, after = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        at_a, at_b = np.arange(len(a)) + begin_b[of_a], np.arange(len(b)) + (begin_a + n_a)[of_b]
+        ids[at_a], ids[at_b] = a, b
+        after[at_a[begin_a + n_a - 1]], after[at_b[begin_b + n_b - 1]] = ord("|"), ord(";")
+        size = self.name_lengths[ids]
+        table = self.names[ids]
+        table[np.arange(len(ids)), size] = after
+        form = table[np.arange(table.shape[1]) <= size[:, None]].tobytes().decode()
+        ends = np.cumsum(size + 1)[np.cumsum(figures[:, 0] + figures[:, 1]) - 1]
+        self._name(run, [form[i : j - 1] for i, j in zip([0, *ends.tolist()], ends.tolist())])
+        return [(figures, pairs, links, np.ones(len(run), bool))]
+
+    def _name(self, run: list[str], groups: list[str]) -> None:
+        self.known.update(zip(run, range(len(self.known), len(self.known) + len(run))))
+        self.groups += groups
+
+    def aligned(self, texts: list[str]) -> list[Aligned]:
+        """One by one; texts that together are long are better passed in several calls."""
+        named = [_units(t) for t in texts]
+        new = [u for u in dict.fromkeys(u for units in named for u in units) if u not in self.known]
+        if len(self.known) + len(new) > CACHED or len(self.pairs) > CACHED_PAIRS:
+            self._forget()
+            new = list(dict.fromkeys(u for units in named for u in units))
+        if new:
+            self._learn(new)
+        return [Aligned(self, units) for units in named]
+
+
+def _units(text: str) -> list[str]:
+    """The units of a text, in order; they begin with a blank."""
+    if not text:
+        return []
+    if _BLANK_RUN.search(text) or text[-1] == " " or text[0].isspace():
+        parts = _BLANK.split(" " + text)
+        return [" " + p for p in parts[1:]] if not parts[0] else [parts[0], *(" " + p for p in parts[1:])]
+    return [" " + p for p in text.split(" ")]
 
 
 class Aligned:
@@ -174,18 +224,19 @@ class Aligned:
 
     __slots__ = ("figures", "digest", "keys", "times")
 
-    def __init__(self, aligner: Aligner, text: str) -> None:
-        units = aligner.units(text) if text else []
+    def __init__(self, aligner: Aligner, names: list[str]) -> None:
         self.digest = ""
         self.keys = self.times = np.zeros(0, np.int64)
         self.figures = (0, 0, 0, 0)
-        if not units or not all(u.fits for u in units):
+        units = [aligner.known[n] for n in names]
+        if not units or not aligner.fits[units].all():
             return
-        self.figures = tuple(sum(getattr(u, c) for u in units) for c in ("n_a", "n_b", "n_groups", "n_links"))
-        self.digest = hashlib.sha256(";".join([u.groups for u in units]).encode()).hexdigest()
-        keys, at = np.unique(np.concatenate([u.keys for u in units]), return_inverse=True)
-        self.keys = keys
-        self.times = np.bincount(at, np.concatenate([u.times for u in units])).astype(np.int64)
+        links = aligner.links[units]
+        total = int(links.sum())
+        place = np.arange(total) + np.repeat(aligner.begin[units] - np.cumsum(links) + links, links)
+        self.keys, self.times = np.unique(aligner.pairs[place], return_counts=True)
+        self.figures = (*aligner.figures[units].sum(axis=0).tolist(), total)
+        self.digest = hashlib.sha256(";".join([aligner.groups[u] for u in units]).encode()).hexdigest()
 
 
 # One row a chunk with all its documents; `keys` are its irregular pairs and `docs` their documents.
@@ -214,14 +265,13 @@ class _Chunk:
     def __init__(self, aligner: Aligner) -> None:
         self.aligner, self.rows, self.size = aligner, [], 0
 
-    def add(self, doc_id: int | None, text: str) -> None:
-        found = Aligned(self.aligner, text)
+    def add(self, doc_id: int | None, found: Aligned) -> None:
         self.rows.append((doc_id, found))
         self.size += len(found.keys) + 16
 
     def batch(self, number: int, vector: np.ndarray) -> pa.RecordBatch:
         """Adds the pairs of equal bytes to `vector` and gives everything else as one row."""
-        width = len(self.aligner.second)
+        width = self.aligner.width
         other, other_times, same, same_times = [], [], [], []
         for _, found in self.rows:
             a, b = np.divmod(found.keys, width)
@@ -244,14 +294,29 @@ class _Chunk:
         return pa.RecordBatch.from_pydict(columns, _CHUNK_ARROW)
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, str]]]:
+    """Documents in lists of about TOGETHER characters, or one longer document."""
+    held, size = [], 0
+    for batch in batches:
+        for doc_id, text in zip(*columns_of(batch, "doc_id", "text")):
+            text = text.decode("utf-8", "replace")
+            if held and size + len(text) > TOGETHER:
+                yield held
+                held, size = [], 0
+            held.append((doc_id, text))
+            size += len(text)
+    if held:
+        yield held
+
+
 def _aligner(first, second):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(first.value, second.value)
         vector = np.zeros(len(aligner.first), np.int64)
         chunk, number = _Chunk(aligner), TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for doc_id, text in zip(*columns_of(batch, "doc_id", "text")):
-                chunk.add(doc_id, text.decode("utf-8", "replace"))
+        for docs in _together(batches):
+            for (doc_id, _), found in zip(docs, aligner.aligned([t for _, t in docs])):
+                chunk.add(doc_id, found)
                 if chunk.size > CHUNK_PAIRS:
                     yield chunk.batch(number, vector)
                     chunk, number = _Chunk(aligner), number + 1
