@@ -75,21 +75,25 @@ def test_likelihood_and_viterbi_by_enumeration(seed, n):
     slots, cuts, kinds, truth = _sequence(seed, n)
     scores = dict(_all_scores(weights, slots, cuts, kinds))
     total = np.log(sum(np.exp(s) for s in scores.values()))
-    loss, gradient = M.likelihood(weights, slots, cuts, kinds, truth)
+    page = slots, cuts, kinds, truth
+    sizes = np.array([n])
+    loss, gradient = M.likelihood(weights, *page, sizes)
     assert loss == pytest.approx(total - scores[tuple(truth)])
     for place in [*set(slots.tolist()), *range(SLOTS, M._SIZE)]:
         near = weights.copy()
         near[place] += 1e-6
-        assert (M.likelihood(near, slots, cuts, kinds, truth)[0] - loss) / 1e-6 == pytest.approx(gradient[place], abs=1e-4)
+        assert (M.likelihood(near, *page, sizes)[0] - loss) / 1e-6 == pytest.approx(gradient[place], abs=1e-4)
     own = [float(weights[slots[a:b]].sum()) for a, b in zip(cuts, cuts[1:])]
     first, moves = (x.tolist() for x in M._moves(weights))
     assert tuple(M.viterbi(own, kinds.tolist(), first, moves)) == max(scores, key=scores.get)
 
 
 def test_gradient_is_summed_over_parts(spark):
-    rows = [tuple(x.tobytes() for x in _sequence(seed, 5)) for seed in range(6)]
+    rows = [tuple(x.tobytes() for x in _sequence(seed, 1 + seed)) for seed in range(6)]
     weights = M.train(spark.createDataFrame(rows, M._SEQUENCE).repartition(3), iterations=30)
-    gradient = sum(M.likelihood(weights, *(np.frombuffer(x, np.int32) for x in r))[1] for r in rows) / 6
+    alone = [M.likelihood(weights, *M.joined([r])) for r in rows]
+    assert M.likelihood(weights, *M.joined(rows))[0] == pytest.approx(sum(loss for loss, _ in alone))
+    gradient = sum(g for _, g in alone) / 6
     assert np.abs(gradient + 2 * M.RIDGE / 6 * weights).max() < 1e-3
     assert not M.train(spark.createDataFrame([], M._SEQUENCE)).any()
 

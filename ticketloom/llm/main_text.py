@@ -43,37 +43,44 @@ def _moves(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return weights[SLOTS : SLOTS + 2], weights[SLOTS + 2 :].reshape(2, 2, 2)
 
 
-def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
-    high = values.max(axis=axis, keepdims=True)
-    return (np.log(np.exp(values - high).sum(axis=axis, keepdims=True)) + high).squeeze(axis)
-
-
 def likelihood(weights: np.ndarray, slots: np.ndarray, cuts: np.ndarray, kinds: np.ndarray,
-               truth: np.ndarray) -> tuple[float, np.ndarray]:
-    """The negative log likelihood of one page's states and its gradient, by forward and backward sums."""
+               truth: np.ndarray, sizes: np.ndarray) -> tuple[float, np.ndarray]:
+    """The negative log likelihood of the states of pages with `sizes` blocks and its gradient.
+
+    Forward and backward sums go block by block, for all pages at once; pages are in order of size,
+    so those that still have a block come first.
+    """
     first, moves = _moves(weights)
-    n = len(truth)
-    score = np.zeros((n, 2))
+    begin = np.cumsum(sizes) - sizes
+    by_size = begin[np.argsort(-sizes, kind="stable")]
+    longer = [int((sizes > t).sum()) for t in range(int(sizes.max()))]
+    score = np.zeros((len(truth), 2))
     score[:, 1] = np.add.reduceat(weights[slots], cuts[:-1])
-    steps = moves[kinds]  # n, before, state
-    ahead, back = np.empty((n, 2)), np.zeros((n, 2))
-    ahead[0] = score[0] + first
-    for t in range(1, n):
-        ahead[t] = score[t] + _log_sum(ahead[t - 1][:, None] + steps[t], 0)
-    for t in range(n - 2, -1, -1):
-        back[t] = _log_sum(steps[t + 1] + score[t + 1] + back[t + 1], 1)
-    total = float(_log_sum(ahead[-1], 0))
+    steps = moves[kinds]  # block, state before, state
+    ahead, back = score.copy(), np.zeros_like(score)
+    ahead[begin] += first
+    for t, n in enumerate(longer[1:], 1):
+        at = by_size[:n] + t
+        ways = ahead[at - 1][:, :, None] + steps[at]
+        ahead[at] += np.logaddexp(ways[:, 0], ways[:, 1])
+    for t in range(len(longer) - 2, -1, -1):
+        at = by_size[: longer[t + 1]] + t
+        ways = steps[at + 1] + (score[at + 1] + back[at + 1])[:, None, :]
+        back[at] = np.logaddexp(ways[:, :, 0], ways[:, :, 1])
+    last = begin + sizes - 1
+    totals = np.logaddexp(ahead[last, 0], ahead[last, 1])
+    total = np.repeat(totals, sizes)
+    chance = np.exp(ahead + back - total[:, None])
     gradient = np.zeros(_SIZE)
-    expected = np.exp(ahead[:, 1] + back[:, 1] - total)
-    np.add.at(gradient, slots, np.repeat(expected - truth, np.diff(cuts)))
-    states = np.exp(ahead[0] + back[0] - total)
-    gradient[SLOTS : SLOTS + 2] = states - np.eye(2)[truth[0]]
-    pairs = np.exp(ahead[:-1, :, None] + steps[1:] + (score + back)[1:, None, :] - total)
-    pairs[np.arange(n - 1), truth[:-1], truth[1:]] -= 1
-    by_kind = gradient[SLOTS + 2 :].reshape(2, 2, 2)
-    np.add.at(by_kind, kinds[1:], pairs)
-    right = score[np.arange(n), truth].sum() + first[truth[0]] + steps[np.arange(1, n), truth[:-1], truth[1:]].sum()
-    return total - float(right), gradient
+    gradient[:SLOTS] = np.bincount(slots, np.repeat(chance[:, 1] - truth, np.diff(cuts)), SLOTS)
+    gradient[SLOTS : SLOTS + 2] = (chance[begin] - np.eye(2)[truth[begin]]).sum(axis=0)
+    inner = np.delete(np.arange(len(truth)), begin)
+    pairs = np.exp(ahead[inner - 1][:, :, None] + steps[inner] + (score + back)[inner][:, None, :] - total[inner][:, None, None])
+    pairs[np.arange(len(inner)), truth[inner - 1], truth[inner]] -= 1
+    gradient[SLOTS + 2 :] = np.stack([pairs[kinds[inner] == k].sum(axis=0) for k in (0, 1)]).ravel()
+    right = score[np.arange(len(truth)), truth].sum() + first[truth[begin]].sum() + steps[
+        inner, truth[inner - 1], truth[inner]].sum()
+    return float(totals.sum() - right), gradient
 
 
 def viterbi(score: list[float], kinds: list[int], first: list[float], moves: list) -> list[int]:
@@ -110,13 +117,23 @@ def _laid_out(layouts: int):
     return lay_out
 
 
+def joined(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Pages' (slots, cuts, kinds, truth) one after the other, and the number of blocks of each."""
+    slots, cuts, kinds, truth = ([np.frombuffer(x, np.int32) for x in column] for column in zip(*rows))
+    starts = np.cumsum([0, *map(len, slots)])
+    ends = [c[1:] + s for c, s in zip(cuts, starts)]
+    return (np.concatenate(slots), np.concatenate([[0], *ends]), np.concatenate(kinds), np.concatenate(truth),
+            np.array(list(map(len, truth))))
+
+
 def _gradient(shared):
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, loss, pages, total = shared.value, 0.0, 0, np.zeros(_SIZE)
         for batch in batches:
-            for row in zip(*columns_of(batch, "slots", "cuts", "kinds", "truth")):
-                own, gradient = likelihood(weights, *(np.frombuffer(x, np.int32) for x in row))
-                loss, pages, total = loss + own, pages + 1, total + gradient
+            rows = list(zip(*columns_of(batch, "slots", "cuts", "kinds", "truth")))
+            if rows:
+                own, gradient = likelihood(weights, *joined(rows))
+                loss, pages, total = loss + own, pages + len(rows), total + gradient
         yield pa.RecordBatch.from_pydict({"loss": [loss], "pages": [pages], "gradient": [total.tobytes()]})
 
     return sums
