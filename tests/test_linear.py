@@ -31,11 +31,17 @@ def objective(problem, w, dense, cls):
     return loss + 0.5 * (ridge * w * w).sum(), x.T @ factors + ridge * w
 
 
+@pytest.fixture(params=["rows in every task", "rows dealt to tasks"])
+def way(request, monkeypatch):
+    if request.param == "rows dealt to tasks":
+        monkeypatch.setattr(linear, "LOCAL_NUMBERS", -1)
+
+
 @pytest.mark.parametrize("problem", [
     linear.Problem("hinge", 1, 2, (2.0, 0.5)), linear.Problem("binary", 0, -1, (2.0, 0.5)),
     linear.Problem("softmax", -1, 3, (1.0, 2.0, 0.5)),
 ])
-def test_solution_is_a_minimum(data, problem):
+def test_solution_is_a_minimum(data, problem, way):
     train, dense, cls = data
     w, report = linear.fit(train.rows, 30, [problem], tol=1e-7)
     assert report.converged and report.passes > 0
@@ -54,14 +60,17 @@ def test_solution_is_a_minimum(data, problem):
 def test_reducers_and_groups_give_the_same(data, monkeypatch):
     train, _, _ = data
     problems = [p for f in range(5) for p in models.svc_problems(train.counts, f, 1.0)]
-    want, _ = linear.fit(train.rows, 30, problems, 1e-5)
+    want, _ = linear.fit(train.rows, 30, problems, 1e-8)
+    monkeypatch.setattr(linear, "LOCAL_NUMBERS", -1)
+    assert linear.fit(train.rows, 30, problems, 1e-8)[0] == pytest.approx(want, abs=1e-6)
     monkeypatch.setattr(linear, "MAX_GATHERED", 0)  # every pass through the block reducers
     monkeypatch.setattr(linear, "BLOCK", 50)
-    assert linear.fit(train.rows, 30, problems, 1e-5)[0] == pytest.approx(want, abs=1e-6)
+    assert linear.fit(train.rows, 30, problems, 1e-8)[0] == pytest.approx(want, abs=1e-6)
     monkeypatch.undo()
+    monkeypatch.setattr(linear, "LOCAL_NUMBERS", -1)
     monkeypatch.setattr(linear, "MAX_COEFFICIENTS", 31 * 4)  # four problems at a time
     assert len(linear.groups(problems, 30)) == 4
-    assert linear.fit(train.rows, 30, problems, 1e-5)[0] == pytest.approx(want, abs=1e-6)
+    assert linear.fit(train.rows, 30, problems, 1e-8)[0] == pytest.approx(want, abs=1e-6)
 
 
 def test_logistic_agrees_with_spark(data):
@@ -74,7 +83,7 @@ def test_logistic_agrees_with_spark(data):
     assert centred == pytest.approx(other, abs=2e-3)
 
 
-def test_sigmoids_minimise_platt_loss(data):
+def test_sigmoids_minimise_platt_loss(data, way):
     train, dense, cls = data
     model = models.train_calibrated_svcs(train, [0.5])[0]
     x = np.hstack([dense, np.ones((240, 1))])
@@ -116,7 +125,29 @@ def test_shipped_tolerance_gives_stable_decimals(data):
         assert np.array(a) == pytest.approx(np.array(b), abs=5e-5)
 
 
-def test_a_fit_that_was_cut_short_says_so(data):
+def test_a_path_of_costs_gives_what_single_fits_give(data, way):
+    train, _, _ = data
+    problems = [p for c in (4.0, 0.25, 1.0) for p in models.svc_problems(train.counts, -1, c)]
+    together, report = linear.fit(train.rows, 30, problems, 1e-8)
+    alone = np.hstack([linear.fit(train.rows, 30, [p], 1e-8)[0] for p in problems])
+    assert report.converged and together == pytest.approx(alone, abs=1e-6)
+
+
+def test_second_derivatives(data):
+    _, dense, cls = data
+    draw = np.random.default_rng(1)
+    fold = np.arange(240) % 5
+    for problem in (linear.Problem("binary", 0, 1, (2.0, 0.5)), linear.Problem("softmax", -1, 3, (1.0, 2.0, 0.5)),
+                    linear.Problem("hinge", 1, 2, (2.0, 0.5))):
+        f, z = draw.normal(size=(2, 240, problem.width))
+        near = [linear.loss_and_factors(problem, f + s * 1e-6 * z, cls, fold)[1] for s in (-1, 1)]
+        assert linear.curved(problem, f, z, cls, fold) == pytest.approx((near[1] - near[0]) / 2e-6, abs=1e-4)
+        own = np.stack([linear.curved(problem, f, np.eye(problem.width)[[k] * 240], cls, fold)[:, k]
+                        for k in range(problem.width)], 1)
+        assert linear.bends(problem, f, cls, fold) == pytest.approx(own)
+
+
+def test_a_fit_that_was_cut_short_says_so(data, way):
     train, _, _ = data
     _, report = linear.fit(train.rows, 30, [linear.Problem("hinge", 1, 2, (2.0, 0.5))], 1e-9, max_passes=2)
     assert report.passes == 2 and not report.converged

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketloom.session import ship_with_tasks
+from ticketloom.session import materialise, ship_with_tasks
 
 ship_with_tasks(__name__)
 
@@ -73,18 +73,27 @@ class Rows:
         """Rows x weights, shape (rows, problems)."""
         out = np.zeros((len(self), weights.shape[1]))
         filled = np.flatnonzero(np.diff(self.starts) > 0)
-        if len(filled):
+        if len(filled) and weights.shape[1] == 1:
+            out[filled, 0] = np.add.reduceat(weights[:, 0][self.indices] * self.values, self.starts[filled])
+        elif len(filled):
             products = weights[self.indices] * self.values[:, None]
             out[filled] = np.add.reduceat(products, self.starts[filled], axis=0)
         return out
 
+    def where(self, mask: np.ndarray) -> tuple[Rows, np.ndarray]:
+        """The marked rows, without their columns, and their numbers."""
+        lengths = np.diff(self.starts)
+        inside = np.repeat(mask, lengths)
+        starts = np.concatenate([[0], np.cumsum(lengths[mask])])
+        return Rows(starts, self.indices[inside], self.values[inside], {}), np.flatnonzero(mask)
+
     def transposed_times(self, factors: np.ndarray, size: int) -> np.ndarray:
         """Transposed rows x factors, shape (size, problems)."""
-        row = np.repeat(np.arange(len(self)), np.diff(self.starts))
+        lengths = np.diff(self.starts)
         out = np.zeros((size, factors.shape[1]))
         for j in np.flatnonzero(factors.any(axis=0)):
             out[:, j] = np.bincount(
-                self.indices, weights=self.values * factors[row, j], minlength=size
+                self.indices, weights=self.values * np.repeat(factors[:, j], lengths), minlength=size
             )
         return out
 
@@ -181,64 +190,186 @@ def loss_and_factors(
     return loss, (-cost * sign * _sigmoid(-margin))[:, None]
 
 
-def loss_sums(
-    df: DataFrame, weights: np.ndarray, problems: list[Problem], pieces: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """(loss per problem, gradient like `weights`) without penalty. One job for all problems.
+def bends(problem: Problem, f: np.ndarray, cls: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Second derivative of the loss by each decision alone (rows x width)."""
+    used = fold != problem.fold
+    if problem.loss == SOFTMAX:
+        p = _softmax(f)
+        return p * (1.0 - p) * (np.asarray(problem.cost)[cls] * used)[:, None]
+    positive = cls == problem.cls
+    cost = np.where(positive, *problem.cost) * used
+    if problem.loss == HINGE:
+        return (2.0 * cost * (np.where(positive, f[:, 0], -f[:, 0]) < 1.0))[:, None]
+    p = _sigmoid(f[:, 0])
+    return (cost * p * (1.0 - p))[:, None]
+
 
-    The last row of `weights` is the intercept.
+def curved(problem: Problem, f: np.ndarray, z: np.ndarray, cls: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Change of the loss's derivative as the decisions `f` move along `z` (rows x width)."""
+    if problem.loss != SOFTMAX:
+        return bends(problem, f, cls, fold) * z
+    p = _softmax(f)
+    cost = np.asarray(problem.cost)[cls] * (fold != problem.fold)
+    return p * (z - (p * z).sum(axis=1, keepdims=True)) * cost[:, None]
+
+
+def _softmax(f: np.ndarray) -> np.ndarray:
+    e = np.exp(f - f.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1.0 + np.tanh(0.5 * x))
+
+
+# ---------------------------------------------------------------------------
+# What a solver asks of the data
+# ---------------------------------------------------------------------------
+
+@dataclass
+class Ask:
+    """The loss and its gradient at `w`; or, with `d`, the Hessian times `d`.
+
+    The last row of `w` and `d` is the intercept. Answers are without the penalty.
     """
-    size, width, count = weights.shape[0] - 1, weights.shape[1], len(problems)
-    columns = spans(problems)
-    shared = df.sparkSession.sparkContext.broadcast(weights)
 
-    def task(batches: Iterator[Rows]) -> np.ndarray:
-        w = shared.value
-        loss, grad = np.zeros(count), np.zeros((size + 1, width))
-        for batch in batches:
-            for rows in batch.parts(NUMBERS_PER_STEP, width):
-                f = rows.times(w[:-1]) + w[-1]
-                factors = np.empty_like(f)
-                cls, fold = rows.columns["cls"], rows.columns["fold"]
-                for i, problem in enumerate(problems):
-                    part, factors[:, columns[i]] = loss_and_factors(
-                        problem, f[:, columns[i]], cls, fold
-                    )
+    problem: Problem
+    w: np.ndarray
+    d: np.ndarray | None = None
+
+
+def _tally(batches: Iterator[Rows], asks: list[tuple[Problem, bool]], w: np.ndarray, d: np.ndarray) -> list[np.ndarray]:
+    """(losses, derivative along each column) summed over rows. `asks` tells for each problem
+    whether it asks along its columns of `d`."""
+    size, columns = w.shape[0] - 1, spans([p for p, _ in asks])
+    loss, first = np.zeros(len(asks)), np.zeros_like(w)
+    for batch in batches:
+        for rows in batch.parts(NUMBERS_PER_STEP, w.shape[1]):
+            cls, fold = rows.columns["cls"], rows.columns["fold"]
+            f = rows.times(w[:-1]) + w[-1]
+            z = rows.times(d[:-1]) + d[-1] if d.shape[1] else None
+            factors = np.empty_like(f)
+            for i, (problem, along) in enumerate(asks):
+                own = f[:, columns[i]]
+                if along:
+                    factors[:, columns[i]] = curved(problem, own, z[:, columns[i]], cls, fold)
+                else:
+                    part, factors[:, columns[i]] = loss_and_factors(problem, own, cls, fold)
                     loss[i] += part
-                grad[:-1] += rows.transposed_times(factors, size)
-                grad[-1] += factors.sum(axis=0)
-        return np.concatenate([loss, grad.ravel()])
+            first[:-1] += rows.transposed_times(factors, size)
+            first[-1] += factors.sum(axis=0)
+    return [loss, first]
+
+
+def _stacked(asks: list[Ask]) -> tuple[list[tuple[Problem, bool]], np.ndarray, np.ndarray]:
+    w = np.hstack([a.w for a in asks])
+    along = any(a.d is not None for a in asks)
+    d = np.hstack([np.zeros_like(a.w) if a.d is None else a.d for a in asks]) if along else w[:, :0]
+    return [(a.problem, a.d is not None) for a in asks], w, d
+
+
+def answer_by_job(df: DataFrame, asks: list[Ask], pieces: int) -> list:
+    """All answers from one pass of Spark over the rows."""
+    kinds, w, d = _stacked(asks)
+    shared = df.sparkSession.sparkContext.broadcast((w, d))
+
+    def task(batches: Iterator[Rows]) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in _tally(batches, kinds, *shared.value)])
 
     try:
-        total = sum_over_rows(df, ["cls", "fold"], task, count + (size + 1) * width, pieces)
+        total = sum_over_rows(df, ["cls", "fold"], task, len(asks) + w.size, pieces)
     finally:
         shared.unpersist()
-    return total[:count], total[count:].reshape(size + 1, width)
+    first = total[len(asks) :].reshape(w.shape)
+    return [
+        first[:, c] if a.d is not None else (total[i], first[:, c])
+        for i, (a, c) in enumerate(zip(asks, spans([p for p, _ in kinds])))
+    ]
+
+
+# ---------------------------------------------------------------------------
+# Trust-region Newton
+# ---------------------------------------------------------------------------
+
+# Conjugate gradients stop at this part of the gradient, or after so many steps.
+CG_ACCURACY = 0.3
+CG_STEPS = 100
+
 
+def newton(problem: Problem, start: np.ndarray, tol: float, reference: float | None):
+    """Minimise half the squared norm plus the losses; a generator of asks.
 
-class _Memory:
-    """Limited-memory curvature of one problem (two-loop recursion)."""
+    Steps come from conjugate gradients within a region in which the quadratic model is trusted
+    (Lin, Weng and Keerthi 2008). Ends where the gradient is `tol` of `reference`, the norm at zero
+    (None: `start` is zero). Returns (w, remaining, reference).
+    """
+    ridge = np.ones((len(start), 1))
+    ridge[-1] = float(problem.loss == HINGE or problem.penalised_intercept)
+    w = start
+    loss, slope = yield Ask(problem, w)
+    value, slope = loss + 0.5 * float((ridge * w * w).sum()), slope + ridge * w
+    radius, stuck = float(np.linalg.norm(slope)), 0
+    reference = radius if reference is None else reference
+    while np.linalg.norm(slope) > tol * reference and stuck < 8:
+        step, left, at_edge = np.zeros_like(w), -slope, False
+        along, now = left, float((left * left).sum())
+        goal = CG_ACCURACY * CG_ACCURACY * now
+        for _ in range(CG_STEPS):
+            if now <= goal:
+                break
+            bent = (yield Ask(problem, w, along)) + ridge * along
+            size = now / float((along * bent).sum())
+            further = step + size * along
+            if np.linalg.norm(further) > radius:
+                dd, sd, ss = (float((a * b).sum()) for a, b in ((along, along), (step, along), (step, step)))
+                size = (np.sqrt(sd * sd + dd * (radius * radius - ss)) - sd) / dd
+                step, left, at_edge = step + size * along, left - size * bent, True
+                break
+            step, left = further, left - size * bent
+            before, now = now, float((left * left).sum())
+            along = left + now / before * along
+        expected = -0.5 * float((slope * step).sum() - (step * left).sum())
+        there, length = w + step, float(np.linalg.norm(step))
+        loss, new_slope = yield Ask(problem, there)
+        new_value, new_slope = loss + 0.5 * float((ridge * there * there).sum()), new_slope + ridge * there
+        fall = value - new_value
+        # below rounding the values tell nothing, and the shorter gradient decides
+        blurred = expected < 1e-11 * max(1.0, abs(value))
+        good = np.linalg.norm(new_slope) < np.linalg.norm(slope) if blurred else fall > 1e-4 * expected
+        if fall < 0.25 * expected and not blurred:
+            radius = max(0.25, min(0.5, 0.5 * expected / max(expected - fall, 1e-300))) * length
+        elif at_edge and fall > 0.75 * expected:
+            radius *= 3.0
+        if good:
+            w, value, slope, stuck = there, new_value, new_slope, 0
+        else:
+            radius, stuck = min(radius, 0.25 * length), stuck + 1
+    return w, float(np.linalg.norm(slope)) / reference if reference else 0.0, reference
+
+
+def _times(a: tuple[float, ...], b: tuple[float, ...]) -> float | None:
+    """The factor that makes `a` of `b`, if there is one."""
+    factor = a[0] / b[0] if b[0] else None
+    return factor if factor and np.allclose(a, np.array(b) * factor, rtol=1e-12) else None
 
-    def __init__(self, keep: int = 10):
-        self.keep, self.pairs = keep, []
 
-    def add(self, step: np.ndarray, change: np.ndarray) -> None:
-        curvature = float(step @ change)
-        if curvature > 1e-12 * float(change @ change):
-            self.pairs = [*self.pairs, (step, change, 1.0 / curvature)][-self.keep :]
+def path(problems: list[Problem], size: int, tol: float, start: np.ndarray | None):
+    """The same problem at several costs, each from the solution before; a generator of asks.
 
-    def direction(self, grad: np.ndarray) -> np.ndarray:
-        q, used = grad.copy(), []
-        for step, change, rho in reversed(self.pairs):
-            a = rho * float(step @ q)
-            q -= a * change
-            used.append(a)
-        if self.pairs:
-            step, change, _ = self.pairs[-1]
-            q *= float(step @ change) / float(change @ change)
-        for (step, change, rho), a in zip(self.pairs, reversed(used)):
-            q += (a - rho * float(change @ q)) * step
-        return -q
+    Returns a list of (w, remaining gradient).
+    """
+    zero = np.zeros((size + 1, problems[0].width))
+    out, w, reference = [], zero if start is None else start, None
+    for at, problem in enumerate(problems):
+        factor = _times(problem.cost, problems[at - 1].cost) if at else None
+        if factor:
+            reference *= factor  # at zero only the losses have a gradient
+        elif w is not zero:
+            _, slope = yield Ask(problem, zero)
+            reference = float(np.linalg.norm(slope))
+        w, remaining, reference = yield from newton(problem, w, tol, reference)
+        out.append((w, remaining))
+    return out
 
 
 def groups(problems: list[Problem], size: int) -> list[list[Problem]]:
@@ -268,9 +399,182 @@ class Report:
     def converged(self) -> bool:
         return all(r <= self.tol for r in self.remaining)
 
+
+def paths(problems: list[Problem]) -> list[list[int]]:
+    """Numbers of the problems that differ in cost only, cheapest first."""
+    out: dict[tuple, list[int]] = {}
+    for i, p in enumerate(problems):
+        out.setdefault((p.loss, p.cls, p.fold, p.penalised_intercept, p.width), []).append(i)
+    return [sorted(own, key=lambda i: sum(problems[i].cost)) for own in out.values()]
+
+
+Start = dict[tuple, np.ndarray]  # first weights by (loss, cls, penalised_intercept)
+
+
+def _start(starts: Start, p: Problem) -> np.ndarray | None:
+    return starts.get((p.loss, p.cls, p.penalised_intercept))
+
+
+def _whole(problems: list[Problem], own: list[list[int]]) -> list[Problem]:
+    """For problems on several folds, the cheapest one of each class on all rows, to start from."""
+    heads = [problems[o[0]] for o in own]
+    found = {(p.loss, p.cls, p.penalised_intercept): replace(p, fold=-1) for p in reversed(heads)}
+    return list(found.values()) if len({p.fold for p in heads}) > 1 else []
+
+
+def _fit_by_jobs(
+    df: DataFrame, size: int, problems: list[Problem], tol: float, max_passes: int, starts: Start
+) -> tuple[list[tuple[np.ndarray, float]], int]:
+    """Every pass over the data answers all problems that still run; groups beyond the coefficient
+    budget run one after another."""
+    own, pieces = paths(problems), partitions(df)
+    done: list[tuple[np.ndarray, float]] = [None] * len(problems)
+    most = 0
+    heads = [problems[o[0]] for o in own]
+    at = 0
+    for group in groups(heads, size):
+        running = {}
+        for numbers in own[at : at + len(group)]:
+            members = [problems[i] for i in numbers]
+            for i in numbers:
+                done[i] = np.zeros((size + 1, problems[i].width)), 1.0
+            steps = path(members, size, tol, _start(starts, members[0]))
+            running[tuple(numbers)] = steps, next(steps)
+        at += len(group)
+        passes = 0
+        while running and passes < max_passes:
+            passes += 1
+            found = answer_by_job(df, [a for _, a in running.values()], pieces)
+            for (numbers, (steps, ask)), answer in zip(list(running.items()), found):
+                try:
+                    running[numbers] = steps, steps.send(answer)
+                except StopIteration as end:
+                    del running[numbers]
+                    for i, result in zip(numbers, end.value):
+                        done[i] = result
+        for numbers, (_, ask) in running.items():  # cut short: where they stand
+            done[numbers[0]] = ask.w, 1.0
+        most = max(most, passes)
+    return done, most
+
+
+def _alone(steps, rows: Rows, max_passes: int, size: int) -> tuple[list, int]:
+    """A path on rows at hand. Decisions at one point serve all asks there, and only the rows on
+    which the loss bends matter along a direction."""
+    passes, ask, result = 0, next(steps), None
+    point = f = bent = None
+    cls, fold = rows.columns["cls"], rows.columns["fold"]
+    while passes < max_passes:
+        passes += 1
+        if point is not ask.w:
+            point, f, bent = ask.w, _decisions(rows, ask.w), None
+        if ask.d is None:
+            loss, factors = loss_and_factors(ask.problem, f, cls, fold)
+            answer = loss, _back(rows, factors, size)
+        else:
+            if bent is None:
+                bent = rows.where(bends(ask.problem, f, cls, fold).any(axis=1))
+            part, where = bent
+            z = _decisions(part, ask.d)
+            answer = _back(part, curved(ask.problem, f[where], z, cls[where], fold[where]), size)
+        try:
+            ask = steps.send(answer)
+        except StopIteration as end:
+            result = end.value
+            break
+    return result if result is not None else [(ask.w, 1.0)], passes
+
+
+def _decisions(rows: Rows, w: np.ndarray) -> np.ndarray:
+    parts = [r.times(w[:-1]) for r in rows.parts(NUMBERS_PER_STEP, w.shape[1])]
+    return np.vstack([*parts, np.zeros((0, w.shape[1]))]) + w[-1]
+
+
+def _back(rows: Rows, factors: np.ndarray, size: int) -> np.ndarray:
+    return np.vstack([rows.transposed_times(factors, size), factors.sum(axis=0)])
+
+
+# Numbers of a training table that may travel to the tasks whole: 96 MB. Then problems are what is
+# dealt to the tasks; of larger tables, rows are.
+LOCAL_NUMBERS = 8_000_000
+
+_SOLVED = "problem int, weights binary, remaining double, passes int, a double, b double, settled boolean"
+
+
+class _Shared:
+    """A training table of checked size in all tasks, as plain arrays."""
+
+    def __init__(self, df: DataFrame) -> None:
+        table = df.select("indices", "values", "cls", "fold").toArrow().combine_chunks()
+        if table.num_rows:
+            rows = Rows.of(table.to_batches()[0], ["cls", "fold"])
+            arrays = rows.starts, rows.indices.astype(np.int32), rows.values, rows.columns["cls"], rows.columns["fold"]
+        else:
+            arrays = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0), np.zeros(0, int), np.zeros(0, int)
+        self.spark = df.sparkSession
+        self.arrays = self.spark.sparkContext.broadcast(arrays)
+
     @classmethod
-    def joined(cls, parts: list[Report]) -> Report:
-        return cls(max(p.passes for p in parts), [r for p in parts for r in p.remaining], parts[0].tol)
+    def if_small(cls, df: DataFrame) -> _Shared | None:
+        numbers = df.agg(F.sum(F.size("indices") + 4)).first()[0] or 0
+        return cls(df) if numbers <= LOCAL_NUMBERS else None
+
+    def fit(self, size: int, problems: list[Problem], tol: float, max_passes: int, starts: Start,
+            held: np.ndarray | None = None) -> list:
+        """(weights, remaining, passes, a, b, settled) of each problem; one task a path."""
+        own, arrays = paths(problems), self.arrays
+        first = self.spark.sparkContext.broadcast([_start(starts, problems[o[0]]) for o in own])
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, indices, values, cls, fold = arrays.value
+            rows = Rows(at, indices, values, {"cls": cls, "fold": fold})
+            for batch in batches:
+                for number in batch.column("id").to_pylist():
+                    members = [problems[i] for i in own[number]]
+                    found, passes = _alone(path(members, size, tol, first.value[number]), rows, max_passes, size)
+                    for i, (w, remaining) in zip(own[number], found):
+                        a, b, settled = 0.0, 0.0, True
+                        if held is not None:
+                            mine = fold == problems[i].fold
+                            f = _decisions(rows, w)[mine]
+                            ab, settled = _platt(_held_sums(f, (cls[mine] == problems[i].cls)[:, None]), held[i : i + 1])
+                            a, b = ab[0].tolist()
+                        yield pa.RecordBatch.from_pydict({
+                            "problem": pa.array([i], pa.int32()), "weights": [w.tobytes()], "remaining": [float(remaining)],
+                            "passes": pa.array([passes], pa.int32()), "a": [a], "b": [b], "settled": [settled]})
+
+        numbers = self.spark.range(0, len(own), 1, len(own))
+        found = numbers.mapInArrow(task, _SOLVED).toArrow().to_pylist()
+        first.unpersist()
+        out: list = [(np.zeros((size + 1, p.width)), 1.0, 0, 0.0, 0.0, False) for p in problems]
+        for r in found:
+            w = np.frombuffer(r["weights"]).reshape(size + 1, -1)
+            out[r["problem"]] = w, r["remaining"], r["passes"], r["a"], r["b"], r["settled"]
+        return out
+
+    def close(self) -> None:
+        self.arrays.unpersist()
+
+
+def _solve(df: DataFrame, size: int, problems: list[Problem], tol: float, max_passes: int, held: np.ndarray | None):
+    """(weights, report, sigmoids, settled). Folds start from the solution on all rows."""
+    whole = _whole(problems, paths(problems))
+    keys = [(p.loss, p.cls, p.penalised_intercept) for p in whole]
+    shared = _Shared.if_small(df)
+    if shared is None:
+        found, most = _fit_by_jobs(df, size, whole, tol, max_passes, {}) if whole else ([], 0)
+        found, passes = _fit_by_jobs(df, size, problems, tol, max_passes, {k: w for k, (w, _) in zip(keys, found)})
+        weights, report = np.hstack([w for w, _ in found]), Report(most + passes, [r for _, r in found], tol)
+        sigmoids, settled = (None, True) if held is None else fit_sigmoids(df, weights, problems, held)
+        return weights, report, sigmoids, settled
+    try:
+        found = shared.fit(size, whole, tol, max_passes, {}) if whole else []
+        most = max((f[2] for f in found), default=0)
+        found = shared.fit(size, problems, tol, max_passes, {k: f[0] for k, f in zip(keys, found)}, held)
+    finally:
+        shared.close()
+    weights, remaining, passes, a, b, settled = zip(*found)
+    return np.hstack(weights), Report(most + max(passes), list(remaining), tol), np.array([a, b]).T, all(settled)
 
 
 def fit(
@@ -278,137 +582,119 @@ def fit(
 ) -> tuple[np.ndarray, Report]:
     """Coefficients (size + 1) x columns of half the squared norm plus the weighted losses, and a report.
 
-    Every pass over the data serves all problems that still run. Problems are
-    independent, so groups beyond the coefficient budget run one after another.
-    The logistic losses penalise their intercept only where the problem says so.
+    Problems that differ in cost only follow each other as a path. A training table of checked
+    size goes to the tasks and each solves a path; of a larger one, every pass answers all
+    problems. Both are the same steps to the same optimum. The logistic losses penalise their
+    intercept only where the problem says so.
     """
-    parts = groups(problems, size)
-    if len(parts) > 1:
-        done = [fit(df, size, part, tol, max_passes) for part in parts]
-        return np.hstack([w for w, _ in done]), Report.joined([r for _, r in done])
-
-    columns, pieces = spans(problems), partitions(df)
-    ridge = [
-        np.append(np.ones(size), float(p.loss == HINGE or p.penalised_intercept))[:, None] for p in problems
-    ]
-    w = np.zeros((size + 1, columns[-1].stop))
-    loss, first = loss_sums(df, w, problems, pieces)  # the norm term is zero at the start
-    grad = [first[:, c] for c in columns]
-    norm = [float(np.linalg.norm(g)) for g in grad]
-    memory = [_Memory() for _ in problems]
-    move = [-g for g in grad]
-    step = [1.0 / max(1.0, n) for n in norm]
-    active = [j for j, n in enumerate(norm) if n > 0]
-    restarted: set[int] = set()
-    passes = 0
-    while active and passes < max_passes:
-        passes += 1
-        running = [problems[j] for j in active]
-        trial = np.hstack([w[:, columns[j]] + step[j] * move[j] for j in active])
-        new_loss, new_grad = loss_sums(df, trial, running, pieces)
-        still = []
-        for i, (j, c) in enumerate(zip(active, spans(running))):
-            there, old = trial[:, c], w[:, columns[j]]
-            value = new_loss[i] + 0.5 * float((ridge[j] * there * there).sum())
-            slope = float((grad[j] * move[j]).sum())
-            if value > loss[j] + 1e-4 * step[j] * slope:
-                # Minimum of the parabola through both points, kept in a safe range.
-                fall = 2.0 * (value - loss[j] - step[j] * slope)
-                step[j] *= min(0.5, max(0.1, -step[j] * slope / fall))
-                if step[j] > 1e-12:
-                    still.append(j)
-                elif j not in restarted:  # once more from here, straight down
-                    restarted.add(j)
-                    memory[j], move[j] = _Memory(), -grad[j]
-                    step[j] = 1.0 / max(1.0, float(np.linalg.norm(grad[j])))
-                    still.append(j)
-                continue
-            fresh = new_grad[:, c] + ridge[j] * there
-            memory[j].add((there - old).ravel(), (fresh - grad[j]).ravel())
-            w[:, columns[j]], grad[j], loss[j] = there, fresh, value
-            if np.linalg.norm(fresh) > tol * norm[j]:
-                move[j] = memory[j].direction(fresh.ravel()).reshape(fresh.shape)
-                step[j] = 1.0
-                still.append(j)
-        active = still
-    left = [float(np.linalg.norm(g)) / n if n > 0 else 0.0 for g, n in zip(grad, norm)]
-    return w, Report(passes, left, tol)
+    return _solve(df, size, problems, tol, max_passes, None)[:2]
+
+
+def fit_calibrated(
+    df: DataFrame, size: int, problems: list[Problem], held: np.ndarray, tol: float, max_passes: int = 2000
+) -> tuple[np.ndarray, Report, np.ndarray, bool]:
+    """As `fit`, with a sigmoid (a, b) for each problem and whether all sigmoids reached their minimum.
+
+    `held` holds (positive, other) held-out rows per problem.
+    """
+    return _solve(df, size, problems, tol, max_passes, held)
 
 
 # ---------------------------------------------------------------------------
 # Sigmoid calibration on held-out rows
 # ---------------------------------------------------------------------------
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1.0 + np.tanh(0.5 * x))
+def _platt_sums(f: np.ndarray, positive: np.ndarray, counts: np.ndarray, ab: np.ndarray) -> np.ndarray:
+    """Loss, gradient and curvature (six rows) of decisions `f` (rows x problems) at `ab`."""
+    high, low = (counts[:, 0] + 1.0) / (counts[:, 0] + 2.0), 1.0 / (counts[:, 1] + 2.0)
+    target = np.where(positive, high, low)
+    z = f * ab[:, 0] + ab[:, 1]
+    p = _sigmoid(-z)
+    loss = np.logaddexp(0.0, z) - (1.0 - target) * z
+    gap, bend = target - p, p * (1.0 - p)
+    return np.array([x.sum(0) for x in (loss, f * gap, gap, f * f * bend, f * bend, bend)])
 
 
-def fit_sigmoids(
-    df: DataFrame, weights: np.ndarray, problems: list[Problem], counts: np.ndarray,
-    max_passes: int = 50,
-) -> np.ndarray:
-    """(a, b) per problem for P = 1 / (1 + exp(a f + b)), fitted on the rows of its own fold.
+def _held_sums(f: np.ndarray, positive: np.ndarray):
+    return lambda ab, counts: _platt_sums(f, positive, counts, ab)
 
-    `counts` holds (positive, other) held-out rows per problem. Targets are
-    smoothed by those counts. Newton steps from sums of five numbers a problem.
-    The second value says whether all of them reached their minimum.
-    """
-    count = len(problems)
-    cls = np.array([p.cls for p in problems])
-    fold = np.array([p.fold for p in problems])
-    high = (counts[:, 0] + 1.0) / (counts[:, 0] + 2.0)
-    low = 1.0 / (counts[:, 1] + 2.0)
-    shared, pieces = df.sparkSession.sparkContext.broadcast(weights), partitions(df)
 
-    def sums(ab: np.ndarray) -> np.ndarray:
-        def task(batches: Iterator[Rows]) -> np.ndarray:
-            w, out = shared.value, np.zeros((6, count))
-            for batch in batches:
-                for rows in batch.parts(NUMBERS_PER_STEP, count):
-                    mine = rows.columns["fold"][:, None] == fold
-                    f = rows.times(w[:-1]) + w[-1]
-                    target = np.where(rows.columns["cls"][:, None] == cls, high, low)
-                    z = f * ab[:, 0] + ab[:, 1]
-                    p = _sigmoid(-z)
-                    loss = np.logaddexp(0.0, z) - (1.0 - target) * z
-                    gap, bend = (target - p) * mine, p * (1.0 - p) * mine
-                    out += [
-                        (loss * mine).sum(0), (f * gap).sum(0), gap.sum(0),
-                        (f * f * bend).sum(0), (f * bend).sum(0), bend.sum(0),
-                    ]
-            return out.ravel()
-
-        return sum_over_rows(df, ["cls", "fold"], task, 6 * count, pieces).reshape(6, count)
-
-    def newton(s: np.ndarray) -> np.ndarray:
+def _platt(sums, counts: np.ndarray, max_steps: int = 50) -> tuple[np.ndarray, bool]:
+    """(a, b) per problem for P = 1 / (1 + exp(a f + b)) by Newton steps on `sums(ab, counts)`, and
+    whether all reached their minimum. Targets are smoothed by the counts."""
+    count = len(counts)
+
+    def step_of(s: np.ndarray) -> np.ndarray:
         h11, h12, h22 = s[3] + 1e-12, s[4], s[5] + 1e-12
         det = h11 * h22 - h12 * h12
         det = np.where(np.abs(det) < 1e-300, 1e-300, det)
         return -np.stack([(h22 * s[1] - h12 * s[2]) / det, (h11 * s[2] - h12 * s[1]) / det], 1)
 
     ab = np.stack([np.zeros(count), np.log((counts[:, 1] + 1.0) / (counts[:, 0] + 1.0))], 1)
-    try:
-        best = sums(ab)
-        move, step = newton(best), np.ones(count)
-        open_ = np.hypot(best[1], best[2]) > 1e-7
-        for _ in range(max_passes):
-            if not open_.any():
-                break
-            trial = np.where(open_[:, None], ab + step[:, None] * move, ab)
-            got = sums(trial)
-            slope = best[1] * move[:, 0] + best[2] * move[:, 1]
-            fits = open_ & (got[0] <= best[0] + 1e-4 * step * slope + 1e-12)
-            ab = np.where(fits[:, None], trial, ab)
-            best = np.where(fits, got, best)
-            fresh = newton(best)
-            move = np.where(fits[:, None], fresh, move)
-            step = np.where(fits, 1.0, step * 0.5)
-            open_ &= (np.hypot(best[1], best[2]) > 1e-7) & (step > 1e-8)
-    finally:
-        shared.unpersist()
+    best = sums(ab, counts)
+    move, step = step_of(best), np.ones(count)
+    open_ = np.hypot(best[1], best[2]) > 1e-7
+    for _ in range(max_steps):
+        if not open_.any():
+            break
+        trial = np.where(open_[:, None], ab + step[:, None] * move, ab)
+        got = sums(trial, counts)
+        slope = best[1] * move[:, 0] + best[2] * move[:, 1]
+        fits = open_ & (got[0] <= best[0] + 1e-4 * step * slope + 1e-12)
+        ab = np.where(fits[:, None], trial, ab)
+        best = np.where(fits, got, best)
+        move = np.where(fits[:, None], step_of(best), move)
+        step = np.where(fits, 1.0, step * 0.5)
+        open_ &= (np.hypot(best[1], best[2]) > 1e-7) & (step > 1e-8)
     return ab, bool((np.hypot(best[1], best[2]) <= 1e-6 * np.maximum(1.0, counts.sum(axis=1))).all())
 
 
+def fit_sigmoids(
+    df: DataFrame, weights: np.ndarray, problems: list[Problem], counts: np.ndarray
+) -> tuple[np.ndarray, bool]:
+    """(a, b) per problem, fitted on the rows of its own fold, by passes of Spark.
+
+    Each row's decisions by the problems that held it out are written once; the passes read these.
+    """
+    fold = np.array([p.fold for p in problems])
+    shared = df.sparkSession.sparkContext.broadcast(weights)
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for rows in Rows.of(batch, ["cls", "fold"]).parts(NUMBERS_PER_STEP, len(problems)):
+                for f in np.unique(rows.columns["fold"]):
+                    own = np.flatnonzero(fold == f)
+                    mine = rows.columns["fold"] == f
+                    w = shared.value[:, own]
+                    table = (rows.times(w[:-1]) + w[-1])[mine]
+                    yield pa.RecordBatch.from_pydict({
+                        "fold": pa.array([f], pa.int32()), "cls": [rows.columns["cls"][mine].astype(np.int64).tobytes()],
+                        "decisions": [table.tobytes()]})
+
+    held = materialise(df.select("indices", "values", "cls", "fold").mapInArrow(
+        decide, "fold int, cls binary, decisions binary"), "held-out")
+    shared.unpersist()
+    kinds = np.array([p.cls for p in problems])
+
+    def sums(ab: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = np.zeros((6, len(problems)))
+            for batch in batches:
+                for f, cls, decisions in zip(*(batch.column(c).to_pylist() for c in ("fold", "cls", "decisions"))):
+                    own = np.flatnonzero(fold == f)
+                    table = np.frombuffer(decisions).reshape(-1, len(own))
+                    positive = np.frombuffer(cls, np.int64)[:, None] == kinds[own]
+                    out[:, own] += _platt_sums(table, positive, counts[own], ab[own])
+            yield pa.RecordBatch.from_pydict({"part": [out.tobytes()]})
+
+        parts = held.mapInArrow(run, "part binary").toArrow()["part"].to_pylist()
+        return sum((np.frombuffer(p).reshape(6, -1) for p in parts), np.zeros((6, len(problems))))
+
+    return _platt(sums, counts)
+
+
 # ---------------------------------------------------------------------------
 # The fitted model
 # ---------------------------------------------------------------------------

@@ -112,15 +112,7 @@ def train_calibrated_svcs(
     )
     rows = data.rows.persist()
     try:
-        weights, report = linear.fit(rows, data.size, problems, tol)
-        sigmoids, at, settled = [], 0, True
-        for part in linear.groups(problems, data.size):
-            here = slice(at, at + len(part))
-            found, done = linear.fit_sigmoids(rows, weights[:, here], part, held[here])
-            sigmoids.append(found)
-            settled &= done
-            at += len(part)
-        table = np.vstack(sigmoids)
+        weights, report, table, settled = linear.fit_calibrated(rows, data.size, problems, held, tol)
     finally:
         rows.unpersist()
     each = len(problems) // len(costs)

@@ -62,7 +62,7 @@ def _sparse(rows: np.ndarray, index: np.ndarray, weight: np.ndarray, n: int) ->
 
 def _vectoriser(shared, names: list[str]):
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = shared.value
+        look = Lookup(*shared.value)
         for batch in batches:
             n = batch.num_rows
             terms = batch.column("_terms")
@@ -99,5 +99,7 @@ def vectorise(tickets: DataFrame, keep: list[str], terms: Column, cells: list[Co
     schema = T.StructType([
         *(rows.schema[c] for c in keep), T.StructField("indices", T.ArrayType(T.IntegerType())),
         T.StructField("values", T.ArrayType(T.DoubleType()))])
-    shared = tickets.sparkSession.sparkContext.broadcast(lookup)
+    # plain arrays: a broadcast names the class of a value, which workers need not have
+    shared = tickets.sparkSession.sparkContext.broadcast(
+        (lookup.terms, lookup.index, lookup.idf, lookup.values, lookup.slots))
     return rows.mapInArrow(_vectoriser(shared, keep), schema)
