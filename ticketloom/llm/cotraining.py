@@ -6,9 +6,10 @@ all unlabelled documents, and every confident label of one view becomes a traini
 At the end each view's margin is calibrated on labelled rows that no round has used, and the
 calibrated log odds are added up, less the prior that both contain.
 
-Labelled rows are a sample of bounded size, in the order of a hash of the id. Unlabelled documents
-are scored and taught where they are, row by row: nothing of them is sampled, joined or sorted, but
-for rows that repeat an id.
+Labelled rows are a sample of bounded size, in the order of a hash of the id. Both views of all
+documents are written once as vectors; every round and the last scoring read these. Unlabelled
+documents are scored and taught where they are, row by row: nothing of them is sampled or sorted, and
+only rows whose id may be among the labels' are joined.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import touched
+from ticketloom.llm.common import fresh_name, touched
 from ticketloom.session import materialise
 
 LABELLED = 20_000  # at most so many labelled rows
@@ -36,27 +37,31 @@ VIEWS = ("text", "page")
 
 
 def _terms(docs: DataFrame, metadata: list[str]) -> DataFrame:
-    """(doc_id, text_terms, page_terms)"""
+    """(doc_id, pool, text_terms, page_terms)"""
     words = F.array_remove(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
     ends = F.transform(words, lambda w: F.concat(F.lit("~"), F.right(w, F.lit(3))))
     length = F.floor(2 * F.log2(F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))) + 1))
     page = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in metadata]
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.concat(F.transform(words, F.lower), ends).alias("text_terms"),
+        "doc_id", "pool", F.concat(F.transform(words, F.lower), ends).alias("text_terms"),
         F.array(*page, F.concat(F.lit("length="), length.cast("string"))).alias("page_terms"))
 
 
 def features(docs: DataFrame, metadata: list[str]) -> DataFrame:
-    """(doc_id, text, page): both views as sparse vectors of the terms that occur."""
+    """(doc_id, pool, text, page): both views as sparse vectors of the terms that occur."""
     out = _terms(docs, metadata)
     for view, slots in zip(VIEWS, (TEXT_SLOTS, PAGE_SLOTS)):
         out = HashingTF(inputCol=f"{view}_terms", outputCol=view, numFeatures=slots, binary=True).transform(out)
-    return out.select("doc_id", *VIEWS)
+    return out.select("doc_id", "pool", *VIEWS)
 
 
 def _by_hash(rows: DataFrame, limit: int) -> DataFrame:
-    return rows.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(limit)
+    """The `limit` rows that come first by a hash of the id; a bound on the hash leaves few to sort."""
+    place = F.xxhash64(F.lit("sample"), "doc_id")
+    share = min(1.0, 2.0 * limit / max(rows.count(), 1))
+    if share < 1:
+        rows = rows.where(place < F.lit(int((2 * share - 1) * (1 << 63))))
+    return rows.orderBy(place, "doc_id").limit(limit)
 
 
 class CoTrained:
@@ -105,24 +110,24 @@ def _taught(pool: DataFrame, models: list[LogisticRegressionModel], view: str) -
     return rows.where("y is not null")
 
 
-def _unlabelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of `docs` whose id is not null and has no label, one for each id; few of them move."""
-    own = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
+def _marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`docs` with `pool`: whether the row has an id and no label. Few rows move."""
+    own = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     known = materialise(labels.select("doc_id").where("doc_id is not null").distinct(), "labelled-ids")
     maybe, free = touched(own, known, "doc_id")
-    free = free.unionByName(maybe.join(known, "doc_id", "left_anti").select(*own.columns))
-    repeated = materialise(own.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    maybe, once = touched(free, repeated, "doc_id")
-    return once.unionByName(maybe.dropDuplicates(["doc_id"]))
+    known = known.select(F.col("doc_id").alias("known_id"))
+    name = fresh_name(own, "known_id")
+    maybe = maybe.join(known.withColumnRenamed("known_id", name), F.col("doc_id") == F.col(name), "left")
+    return free.withColumn("pool", F.col("doc_id").isNotNull()).unionByName(
+        maybe.withColumn("pool", F.col("doc_id").isNotNull() & F.col(name).isNull()).drop(name))
 
 
-def train(docs: DataFrame, labels: DataFrame, metadata: list[str]) -> CoTrained:
-    """Co-train on (doc_id, y) labels, of which 1 stands for a document worth keeping."""
+def train(vectors: DataFrame, labels: DataFrame) -> CoTrained:
+    """Co-train on (doc_id, pool, text, page) and (doc_id, y) labels, of which 1 stands for a document worth keeping."""
     known = labels.where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.min("y").alias("y"))
-    sample = materialise(_by_hash(known, LABELLED), "labelled")
-    # of bounded size; a repeated id counts once
-    chosen = docs.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    labelled = materialise(features(chosen, metadata).join(F.broadcast(sample), "doc_id"), "training")
+    sample = F.broadcast(materialise(_by_hash(materialise(known, "judged"), LABELLED), "labelled"))  # of bounded size
+    # a repeated id counts once
+    labelled = materialise(vectors.where(~F.col("pool")).join(sample, "doc_id").dropDuplicates(["doc_id"]), "training")
     aside = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(CALIBRATE)) == 0
     fit, held = labelled.where(~aside), labelled.where(aside)
     counts = labelled.agg(F.count("*"), F.sum("y")).first()
@@ -130,12 +135,12 @@ def train(docs: DataFrame, labels: DataFrame, metadata: list[str]) -> CoTrained:
     prior = math.log((good + 1) / (total - good + 1))
     if any(part.select("y").distinct().count() < 2 for part in (fit, held)):
         return CoTrained({}, {}, prior)
-    pool = features(_unlabelled(docs, labels), metadata)
+    pool = vectors.where("pool")
     own = fit.select("doc_id", *VIEWS, "y")
     taught = {view: own for view in VIEWS}
     made: dict[str, list[LogisticRegressionModel]] = {view: [] for view in VIEWS}
     for step in range(ROUNDS + 1):
-        models = {view: _fit(taught[view], view) for view in VIEWS}
+        models = {view: _fit(taught[view].select(view, "y"), view) for view in VIEWS}
         if step == ROUNDS:
             break
         for view, other in (VIEWS, VIEWS[::-1]):
@@ -151,14 +156,15 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("s
     `labels` has doc_id, quality and toxic; a document is worth keeping if its quality is 1 and it
     is not toxic (a null quality is no label, a null toxic is not toxic). Scores are chances of
     being worth keeping, kept means at least one half. Repeated labels of one id count as the worst
-    of them. Without labels of both classes every score is the labels' share of good ones. Null
-    texts count as empty and null metadata as a value of its own; null ids are scored but train
-    nothing. Columns besides `doc_id`, `text` and the metadata are not read; metadata that `docs`
+    of them; unlabelled rows that repeat an id count as often as they occur. Without labels of both
+    classes every score is the labels' share of good ones. Null texts count as empty and null
+    metadata as a value of its own; null ids are scored but train nothing. Very long texts count
+    whole; an empty table gives no rows. Columns besides `doc_id`, `text` and the metadata are not read; metadata that `docs`
     lacks is left out.
     """
     present = [c for c in metadata if c in docs.columns]
     good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     judged = labels.select(F.col("doc_id").cast("long").alias("doc_id"), good.cast("double").alias("y"))
     docs = docs.select("doc_id", "text", *present)
-    model = train(docs, judged, present)
-    return model.scored(features(docs, present)).withColumn("kept", F.col("score") >= 0.5)
+    vectors = materialise(features(_marked(docs, judged.where("y is not null")), present), "vectors")
+    return train(vectors, judged).scored(vectors).withColumn("kept", F.col("score") >= 0.5)
