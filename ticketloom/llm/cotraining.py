@@ -110,16 +110,23 @@ def _taught(pool: DataFrame, models: list[LogisticRegressionModel], view: str) -
     return rows.where("y is not null")
 
 
+# Whether a row teaches as unlabelled: never, as it is, or as one of the rows with its id.
+NEVER, ALONE, REPEATED = 0, 1, 2
+
+
 def _marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` with `pool`: whether the row has an id and no label. Few rows move."""
+    """`docs` with `pool`, one of the marks above. Only rows whose id may be labelled or repeated move."""
     own = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    known = materialise(labels.select("doc_id").where("doc_id is not null").distinct(), "labelled-ids")
-    maybe, free = touched(own, known, "doc_id")
-    known = known.select(F.col("doc_id").alias("known_id"))
-    name = fresh_name(own, "known_id")
-    maybe = maybe.join(known.withColumnRenamed("known_id", name), F.col("doc_id") == F.col(name), "left")
-    return free.withColumn("pool", F.col("doc_id").isNotNull()).unionByName(
-        maybe.withColumn("pool", F.col("doc_id").isNotNull() & F.col(name).isNull()).drop(name))
+    labelled = labels.select("doc_id", F.lit(NEVER).alias("mark"))
+    repeated = own.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(REPEATED).alias("mark"))
+    marks = labelled.union(repeated).where("doc_id is not null").groupBy("doc_id").agg(F.min("mark").alias("mark"))
+    marks = materialise(marks, "marked-ids")
+    maybe, free = touched(own, marks, "doc_id")
+    other = fresh_name(own, "marked_id")
+    marks = marks.select(F.col("doc_id").alias(other), F.col("mark").alias("pool"))
+    maybe = maybe.join(marks, F.col("doc_id") == F.col(other), "left").drop(other)
+    alone = F.when(F.col("doc_id").isNull(), NEVER).otherwise(ALONE)
+    return free.withColumn("pool", alone).unionByName(maybe.withColumn("pool", F.coalesce("pool", alone)))
 
 
 def train(vectors: DataFrame, labels: DataFrame) -> CoTrained:
@@ -127,7 +134,7 @@ def train(vectors: DataFrame, labels: DataFrame) -> CoTrained:
     known = labels.where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.min("y").alias("y"))
     sample = F.broadcast(materialise(_by_hash(materialise(known, "judged"), LABELLED), "labelled"))  # of bounded size
     # a repeated id counts once
-    labelled = materialise(vectors.where(~F.col("pool")).join(sample, "doc_id").dropDuplicates(["doc_id"]), "training")
+    labelled = materialise(vectors.where(F.col("pool") == NEVER).join(sample, "doc_id").dropDuplicates(["doc_id"]), "training")
     aside = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(CALIBRATE)) == 0
     fit, held = labelled.where(~aside), labelled.where(aside)
     counts = labelled.agg(F.count("*"), F.sum("y")).first()
@@ -135,7 +142,8 @@ def train(vectors: DataFrame, labels: DataFrame) -> CoTrained:
     prior = math.log((good + 1) / (total - good + 1))
     if any(part.select("y").distinct().count() < 2 for part in (fit, held)):
         return CoTrained({}, {}, prior)
-    pool = vectors.where("pool")
+    several = vectors.where(F.col("pool") == REPEATED).dropDuplicates(["doc_id"])
+    pool = vectors.where(F.col("pool") == ALONE).union(materialise(several, "repeated"))
     own = fit.select("doc_id", *VIEWS, "y")
     taught = {view: own for view in VIEWS}
     made: dict[str, list[LogisticRegressionModel]] = {view: [] for view in VIEWS}
@@ -156,7 +164,7 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("s
     `labels` has doc_id, quality and toxic; a document is worth keeping if its quality is 1 and it
     is not toxic (a null quality is no label, a null toxic is not toxic). Scores are chances of
     being worth keeping, kept means at least one half. Repeated labels of one id count as the worst
-    of them; unlabelled rows that repeat an id count as often as they occur. Without labels of both
+    of them, unlabelled rows that repeat an id teach once. Without labels of both
     classes every score is the labels' share of good ones. Null texts count as empty and null
     metadata as a value of its own; null ids are scored but train nothing. Very long texts count
     whole; an empty table gives no rows. Columns besides `doc_id`, `text` and the metadata are not read; metadata that `docs`
