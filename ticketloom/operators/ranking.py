@@ -45,8 +45,29 @@ def rank_in_group(
     )
 
 
-def quota_cuts(df: DataFrame, group: list[str], id_col: str, test_size: float, seed: int) -> DataFrame:
-    """(group, _cut_order, _cut_id): the last row in hash order within ceil(test_size * n) of a group.
+def largest_remainders(df: DataFrame, label: str, test_size: float) -> DataFrame:
+    """(label, _quota): ceil(test_size * n) test rows in all, dealt to the classes in proportion.
+
+    Each class gets the whole part of its share; the rows left go to the largest fractions, equal
+    ones in label order. Shares are whole numbers over n, so no rounding decides. One row a class.
+    """
+    counts = df.groupBy(label).agg(F.count("*").cast("decimal(19,0)").alias("_n"))
+    whole = Window.partitionBy(F.lit(0))  # class counts only
+    share = counts.withColumn("_all", F.sum("_n").over(whole).cast("decimal(19,0)")).withColumn(
+        "_test", F.ceil(F.lit(test_size) * F.col("_all").cast("double")).cast("decimal(19,0)"))
+    parts = share.withColumn("_part", F.expr("(_test * _n) div _all")).withColumn(
+        "_rest", F.expr("(_test * _n) % _all"))
+    left = F.col("_test") - F.sum("_part").over(whole)
+    place = F.row_number().over(whole.orderBy(F.desc("_rest"), label))
+    return parts.withColumn("_left", left).withColumn("_place", place).select(
+        label, (F.col("_part") + (F.col("_place") <= F.col("_left")).cast("long")).alias("_quota"))
+
+
+def quota_cuts(
+    df: DataFrame, group: list[str], id_col: str, test_size: float, seed: int, quotas: DataFrame | None = None
+) -> DataFrame:
+    """(group, _cut_order, _cut_id): the last row in hash order within ceil(test_size * n) of a group,
+    or within its row of `quotas`; a group with a quota of 0 has no row.
 
     Counts per hash bucket tell in which bucket a group's quota ends; only the rows of that bucket
     are ranked, by hash and id alone.
@@ -57,8 +78,11 @@ def quota_cuts(df: DataFrame, group: list[str], id_col: str, test_size: float, s
     counts = keyed.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(*group)
     upto = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = counts.withColumn("_upto", F.sum("_n").over(upto)).withColumn(
-        "_quota", F.ceil(F.lit(test_size) * F.sum("_n").over(whole)))
+    ends = counts.withColumn("_upto", F.sum("_n").over(upto))
+    if quotas is None:
+        ends = ends.withColumn("_quota", F.ceil(F.lit(test_size) * F.sum("_n").over(whole)))
+    else:
+        ends = ends.join(quotas, group)
     before = F.col("_upto") - F.col("_n")
     last = ends.where((before < F.col("_quota")) & (F.col("_quota") <= F.col("_upto"))).select(
         *group, "_bucket", (F.col("_quota") - before).alias("_need"))
@@ -68,10 +92,14 @@ def quota_cuts(df: DataFrame, group: list[str], id_col: str, test_size: float, s
 
 
 def stratified_split(
-    df: DataFrame, label: str, id_col: str = "incident_id", test_size: float = 0.2, seed: int = 42
+    df: DataFrame, label: str, id_col: str = "incident_id", test_size: float = 0.2, seed: int = 42,
+    exact: bool = False,
 ) -> DataFrame:
     """Add `is_test`: the first ceil(test_size * n) rows of each class in hash order.
 
+    With `exact` the test rows of all classes together are ceil(test_size * n), dealt to the
+    classes by largest remainders, so that a small class may have none.
+
     If a class has one row only, the split ignores classes. Rows are not moved: each is compared
     with its class's last test row.
     """
@@ -82,8 +110,9 @@ def stratified_split(
         last = quota_cuts(df, [], id_col, test_size, seed).first()
         cut = F.struct(F.lit(last["_cut_order"]), F.lit(last["_cut_id"]).cast(df.schema[id_col].dataType))
         return df.withColumn("is_test", own <= cut)
-    cuts = materialise(quota_cuts(df, [label], id_col, test_size, seed), "cuts")
-    joined = class_join(df, cuts, label, "inner")
+    quotas = materialise(largest_remainders(df, label, test_size), "quotas") if exact else None
+    cuts = materialise(quota_cuts(df, [label], id_col, test_size, seed, quotas), "cuts")
+    joined = class_join(df, cuts, label, "left" if exact else "inner")
     is_test = F.coalesce(own <= F.struct("_cut_order", "_cut_id"), F.lit(False))
     return joined.select(*df.columns, is_test.alias("is_test"))
 

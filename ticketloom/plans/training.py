@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -213,19 +214,28 @@ class Cascade:
         return cls(*[Classifier.load(spark, f"{path}/{n}") for n in ("omv", "service", "origine")])
 
 
-def train_cascade_omv(tickets: DataFrame, min_samples: int = 0) -> tuple[Trained, DataFrame]:
+def train_cascade_omv(
+    tickets: DataFrame, min_samples: int = 0, out_of_fold: int = 0, c: float = 1.0
+) -> tuple[Trained, DataFrame]:
     """(model, omv_pred): the first stage and its label for every trainable row.
 
-    Predictions on training rows are in-sample, as the second stage expects.
+    Predictions on training rows are in-sample; with `out_of_fold` folds each training row is
+    labelled by a model that was trained without its fold, so that the second stage sees labels as
+    good as those of new tickets. All folds and the full fit are one set of problems.
     """
     split = split_tickets(tickets, "omv", min_samples=min_samples)
     prepared = prepare(split, "omv", ["cause", "traite"], TEXT_CONFIGS["cascade_omv"], "all")
-    model = train_logistics(prepared.training_set(1), [(1.0, -1)])[0]
-    every = prepared.train.unionByName(prepared.test).select("incident_id", "indices", "values")
-    labels = predict(every, model).select(
-        "incident_id", best_class(F.col("probabilities"), model.classes).alias("omv_pred")
-    )
-    return _finish(prepared, model), materialise(labels, "omv_pred")
+    data = prepared.training_set(max(1, out_of_fold))
+    settings = [(c, -1), *((c, f) for f in range(out_of_fold))]
+    model, *without = train_logistics(data, settings, max(1, out_of_fold))
+
+    def labels(rows: DataFrame, by: LinearModel) -> DataFrame:
+        return predict(rows.select("incident_id", "indices", "values"), by).select(
+            "incident_id", best_class(F.col("probabilities"), by.classes).alias("omv_pred"))
+
+    seen = [labels(data.rows.filter(F.col("fold") == f), m) for f, m in enumerate(without)]
+    every = reduce(DataFrame.unionByName, [labels(prepared.test, model), *(seen or [labels(prepared.train, model)])])
+    return _finish(prepared, model), materialise(every, "omv_pred")
 
 
 def align_omv(tickets: DataFrame, omv_pred: DataFrame) -> DataFrame:
@@ -235,16 +245,16 @@ def align_omv(tickets: DataFrame, omv_pred: DataFrame) -> DataFrame:
 
 def train_cascade_target(
     tickets: DataFrame, omv_pred: DataFrame, target: str, min_samples: int = MIN_SAMPLES,
-    c: float = 5.0,
-) -> tuple[Trained, Trained]:
+    c: float = 5.0, stages: tuple[list[str], ...] = (["omv_pred"], []),
+) -> tuple[Trained, ...]:
     """(with, without) the predicted intervention as a feature, on the same split."""
     label = TARGET_COLUMNS[target]
     split = split_tickets(align_omv(tickets, omv_pred), label, min_samples=min_samples)
     results = []
-    for columns in (["cause", "traite", "omv_pred"], ["cause", "traite"]):
-        prepared = prepare(split, label, columns, TEXT_CONFIGS["multi"], "all")
+    for extra in stages:
+        prepared = prepare(split, label, ["cause", "traite", *extra], TEXT_CONFIGS["multi"], "all")
         results.append(_finish(prepared, train_logistics(prepared.training_set(1), [(c, -1)])[0]))
-    return results[0], results[1]
+    return tuple(results)
 
 
 def cascade_gain(spark: SparkSession, target: str, with_: Trained, without: Trained) -> DataFrame:
@@ -257,3 +267,15 @@ def cascade_gain(spark: SparkSession, target: str, with_: Trained, without: Trai
     return spark.createDataFrame(
         rows, "target string, metric string, without_cascade double, with_cascade double, gain double"
     )
+
+
+def stacking_gains(spark: SparkSession, target: str, without: Trained, in_sample: Trained, crossed: Trained) -> DataFrame:
+    """(target, metric, without_cascade, in_sample, out_of_fold, and the gains of the last two)."""
+    rows = [
+        (target, m, *(float(t.metrics[m]) for t in (without, in_sample, crossed)),
+         *(float(t.metrics[m] - without.metrics[m]) for t in (in_sample, crossed)))
+        for m in ("accuracy", "f1_macro", "f1_weighted")
+    ]
+    return spark.createDataFrame(
+        rows, "target string, metric string, without_cascade double, in_sample double, out_of_fold double, "
+        "in_sample_gain double, out_of_fold_gain double")

@@ -253,6 +253,19 @@ def split(spark, sf):
     return stratified_split(rows, "omv")
 
 
+@query("f6_largest_remainder", o.sql(
+    """SELECT incident_id, omv, row_number() OVER (PARTITION BY omv ORDER BY md5(incident_id || '|42'), incident_id) <= quota AS is_test
+     FROM clean JOIN quota USING (omv) WHERE description <> ''""", "clean", quota="""
+     SELECT omv, m * n // total + CASE WHEN row_number() OVER (ORDER BY m * n % total DESC, omv)
+       <= m - sum(m * n // total) OVER () THEN 1 ELSE 0 END AS quota
+     FROM (SELECT *, CAST(ceil(0.2 * total) AS HUGEINT) AS m FROM (
+       SELECT omv, CAST(count(*) AS HUGEINT) AS n, CAST(sum(count(*)) OVER () AS HUGEINT) AS total
+       FROM clean WHERE omv IS NOT NULL AND description <> '' GROUP BY omv))"""))
+def exact_split(spark, sf):
+    rows = filters.trainable(tickets_table(spark, sf), "omv").select("incident_id", "omv")
+    return stratified_split(rows, "omv", exact=True)
+
+
 @query("w5_split_quota", o.sql(
     "SELECT omv, count(*) AS n, count(*) FILTER (is_test) AS n_test FROM split GROUP BY omv", "clean", split=SPLIT))
 def split_quota(spark, sf):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom import fixtures
-from ticketloom.constants import CATEGORY_COLUMNS, MIN_SAMPLES, TARGET_COLUMNS
+from ticketloom.constants import CATEGORY_COLUMNS, FOLDS, MIN_SAMPLES, TARGET_COLUMNS
 from ticketloom.operators import filters
 from ticketloom.operators.features import TEXT_CONFIGS, as_vectors
 from ticketloom.operators.models import strongest_terms, text_coefficients, train_forest
@@ -41,19 +41,19 @@ def gate_models(
     )
 
 
-def cascade_models(spark: SparkSession, sf: str) -> tuple[Cascade, DataFrame]:
-    """(models, gains of the cascade over models without it)."""
+def cascade_models(spark: SparkSession, sf: str) -> tuple[Cascade, DataFrame, dict[str, tuple]]:
+    """(models, gains of the cascade over models without it, (with, without) by target)."""
 
     def make():
         tickets = cascade_tickets(spark, sf)
         first, omv_pred = training.train_cascade_omv(tickets)
-        found, gains = [first.classifier], None
+        found, gains, trained = [first.classifier], None, {}
         for target in ("service", "origine"):
-            with_, without = training.train_cascade_target(tickets, omv_pred, target)
+            with_, without = trained[target] = training.train_cascade_target(tickets, omv_pred, target)
             found.append(with_.classifier)
             gain = training.cascade_gain(spark, target, with_, without)
             gains = gain if gains is None else gains.unionByName(gain)
-        return Cascade(*found), gains
+        return Cascade(*found), gains, trained
 
     return kept(spark, sf, "cascade", make)
 
@@ -129,6 +129,19 @@ def cascade_gain(spark, sf):
     return cascade_models(spark, sf)[1]
 
 
+@query("m4_out_of_fold")
+def out_of_fold_gain(spark, sf):
+    """The cascade's gains with in-sample and with cross-fitted labels of the training rows."""
+    trained = cascade_models(spark, sf)[2]
+    tickets = cascade_tickets(spark, sf)
+    _, omv_pred = kept(spark, sf, "crossed", lambda: training.train_cascade_omv(tickets, out_of_fold=FOLDS))
+    parts = []
+    for target, (in_sample, without) in trained.items():
+        crossed, = training.train_cascade_target(tickets, omv_pred, target, stages=(["omv_pred"],))
+        parts.append(training.stacking_gains(spark, target, without, in_sample, crossed))
+    return parts[0].unionByName(parts[1])
+
+
 def both_targets(search, spark: SparkSession, sf: str) -> DataFrame:
     parts = [
         search(tickets_table(spark, sf), target).withColumn("target", F.lit(target))
