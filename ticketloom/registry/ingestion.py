@@ -20,6 +20,7 @@ from ticketloom.registry import oracle as o
 from ticketloom.registry.catalog import query
 from ticketloom.registry.cleaning import team_lists
 from ticketloom.session import scratch_path
+from ticketloom.sources.split_csv import parse, read_records
 from ticketloom.sources import ingest, runlog
 from ticketloom.sources.agents import load_agents
 from ticketloom.sources.headers import canonical_columns
@@ -83,6 +84,18 @@ def csv_scan(spark, sf):
     return ingest.read_csv(spark, files, RAW).select([F.col(f"_c{i}").alias(c) for i, c in enumerate(RAW)])
 
 
+@query("s1_split_csv_scan", o.sql(SCAN, "incidents"))
+def split_csv_scan(spark, sf):
+    """The same rows from files that are cut into blocks."""
+    folder = scratch_path(spark, "csv")
+    write_csv(raw_tickets(spark, sf).drop("layout").coalesce(2), folder)
+    records, unpaired = read_records(spark, ingest.list_files(spark, folder, ".csv"))
+    if unpaired:
+        raise ValueError(f"quotes are not paired in {unpaired}")
+    cells = parse(records, RAW, ingest.CSV_OPTIONS)
+    return cells.select([ingest.missing_as_null(F.col(c)).alias(c) for c in RAW])
+
+
 @query("s2_csv_or_workbook", o.sql(SCAN, "incidents"))
 def csv_or_workbook(spark, sf):
     folder = scratch_path(spark, "csv")

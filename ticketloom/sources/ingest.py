@@ -13,10 +13,13 @@ from pyspark.sql import types as T
 from ticketloom.constants import CELL_REPAIRS, NA_TOKENS, RAW_COLUMNS, SOURCE_COLUMN
 from ticketloom.session import materialise
 from ticketloom.sources.headers import canonical_columns
+from ticketloom.sources.split_csv import parse, read_records
 from ticketloom.sources.workbook import read_workbook_rows
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 _EXTRA = "_extra"
+# A quoted file up to this size is one task.
+SPLIT_BYTES = 64 * 1024 * 1024
 
 
 def missing_as_null(cell):
@@ -39,20 +42,36 @@ def read_csv(
 
     Columns are `_c0.._cN`, plus the file name and `_extra`, which is not null
     where a row has more cells than the header. `multi_line` allows quoted line
-    breaks but makes each file one task; switch it off for large files without.
+    breaks: a file beyond SPLIT_BYTES is then cut into blocks at records
+    (split_csv.py), a smaller one, or one whose quotes are not paired, is one task.
     """
-    names = [f"_c{i}" for i in range(len(headers))]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA]])
-    raw = (
-        spark.read.options(**CSV_OPTIONS, header=True, multiLine=multi_line, enforceSchema=True)
-        .schema(schema)
-        .csv(paths)
-    )
-    return raw.select(
-        *[missing_as_null(F.col(n)).alias(n) for n in names],
-        F.col("_metadata.file_name").alias(SOURCE_COLUMN),
-        _EXTRA,
-    )
+    names = [*(f"_c{i}" for i in range(len(headers))), _EXTRA]
+    parts, whole = [], paths
+    if multi_line:
+        whole, large = _by_size(spark, paths)
+        if large:
+            records, unpaired = read_records(spark, large)
+            parts.append(parse(records, names, CSV_OPTIONS).withColumnRenamed("file", SOURCE_COLUMN))
+            whole = whole + unpaired
+    if whole:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        options = {**CSV_OPTIONS, "header": True, "multiLine": multi_line, "enforceSchema": True}
+        raw = spark.read.options(**options).schema(schema).csv(whole)
+        parts.append(raw.select(F.col("_metadata.file_name").alias(SOURCE_COLUMN), *names))
+    raw = reduce(DataFrame.unionByName, parts)
+    return raw.select(*[missing_as_null(F.col(n)).alias(n) for n in names[:-1]], SOURCE_COLUMN, _EXTRA)
+
+
+def _by_size(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """Files of up to SPLIT_BYTES, and larger ones; folders stand for their files."""
+    small, large = [], []
+    for path in paths:
+        for status in _status(spark, path):
+            name = status.getPath().getName()
+            if status.isFile() and not name.startswith(("_", ".")):
+                (large if status.getLen() > SPLIT_BYTES else small).append(status.getPath().toString())
+    # what is not there is left to the reader, which says so
+    return (small if small or large else list(paths)), large
 
 
 def read_tickets(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
