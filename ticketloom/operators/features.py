@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ticketloom.constants import STOP_WORDS, UNKNOWN
 from ticketloom.functions.text import bind, term_frequencies
-from ticketloom.operators.joins import BROADCAST_ROWS, dim_join, is_small
+from ticketloom.operators.joins import BROADCAST_ROWS, dim_join, heavy_hitter_join, is_small
 from ticketloom.operators.ranking import rank_in_group
 from ticketloom.operators.vectorise import Lookup, vectorise
 from ticketloom.session import materialise, scratch_path
@@ -90,9 +90,11 @@ def with_idf(vocab: DataFrame, n_docs: int) -> DataFrame:
 
 
 def vocab_join(counts: DataFrame, vocab: DataFrame, max_features: int) -> DataFrame:
-    """Keep known terms; the vocabulary's size is bounded by `max_features`."""
-    side = F.broadcast(vocab) if max_features <= MAX_BROADCAST_TERMS else vocab
-    return counts.join(side, "term")
+    """Keep known terms; a vocabulary of at most MAX_BROADCAST_TERMS is broadcast, of a larger one
+    the frequent terms are."""
+    if max_features <= MAX_BROADCAST_TERMS:
+        return counts.join(F.broadcast(vocab), "term")
+    return heavy_hitter_join(materialise(counts, "counts"), vocab, "term")
 
 
 def raw_weight():

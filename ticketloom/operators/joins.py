@@ -43,6 +43,32 @@ def dim_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+# Keys that the sketch follows, and of these the most frequent ones that are broadcast.
+TRACKED_KEYS, HEAVY_KEYS = 10_000, 1_000
+
+
+def heavy_keys(fact: DataFrame, key: str) -> DataFrame:
+    """(key): at most HEAVY_KEYS of the most frequent keys, found by a frequent-items sketch in one
+    pass. Which keys these are changes how rows travel, never the result."""
+    sketch = fact.filter(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {HEAVY_KEYS}, {TRACKED_KEYS})").alias("top"))
+    return sketch.select(F.explode("top.item").alias(key))
+
+
+def heavy_hitter_join(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Inner join of `fact` with a dimension of any size that has each key once.
+
+    Rows with a frequent key meet their part of the dimension, of bounded size, where they are; the
+    rest is joined by hash, in which no key is frequent any more. `fact` is read three times: give a
+    written table.
+    """
+    heavy = materialise(heavy_keys(fact, key), "heavy-keys")
+    keys = F.broadcast(heavy)
+    frequent = F.broadcast(dim.join(keys, key, "left_semi"))
+    rest = fact.join(keys, key, "left_anti").hint("shuffle_hash").join(dim.join(keys, key, "left_anti"), key)
+    return fact.join(frequent, key).unionByName(rest)
+
+
 def lookup_service(
     tickets: DataFrame, agents: DataFrame, small: bool | None = None
 ) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketloom.operators.joins import heavy_hitter_join
 from ticketloom.session import materialise, ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -805,11 +806,17 @@ def scores_by_join(
     """(incident_id, *by, decision) from long features and a coefficient table.
 
     For models kept as a table `(term, *by, coef)`: the sum of coef * weight. Works for any
-    number of features; the table is broadcast only when its size was checked.
+    number of features; the table is broadcast only when its size was checked, else the
+    coefficients of frequent terms are and the rest is joined by hash.
     """
-    side = F.broadcast(coefficients) if small else coefficients
+    if small:
+        joined = weights.join(F.broadcast(coefficients), "term")
+    else:
+        packed = coefficients.groupBy("term").agg(F.collect_list(F.struct(*by, "coef")).alias("_of_term"))
+        joined = heavy_hitter_join(materialise(weights, "weights"), packed, "term").select(
+            "incident_id", "weight", F.inline("_of_term"))
     return (
-        weights.join(side, "term")
+        joined
         .groupBy("incident_id", *by)
         .agg(F.sum(F.col("coef") * F.col("weight")).alias("decision"))
     )

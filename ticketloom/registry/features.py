@@ -10,6 +10,7 @@ from ticketloom.constants import CATEGORY_COLUMNS, INCIDENT_NUMBER
 from ticketloom.functions.text import tokens
 from ticketloom.operators import features as ft
 from ticketloom.operators import filters
+from ticketloom.operators.joins import heavy_hitter_join
 from ticketloom.operators.models import class_table
 from ticketloom.operators.ranking import class_join, folds, stratified_split
 from ticketloom.plans import clean
@@ -153,6 +154,19 @@ def vocabulary_join(spark, sf):
     )
 
 
+@query("j4_heavy_hitter_join", o.sql(
+    """SELECT c.incident_id, count(*) AS known, CAST(sum(c.tf) AS BIGINT) AS occurrences
+     FROM counts c JOIN vocab v ON v.term = c.term GROUP BY c.incident_id""", "clean",
+    **{k: v for k, v in text_ctes(MULTI).items() if k != "weights"}))
+def vocabulary_join_of_any_size(spark, sf):
+    """As j4_vocabulary_join, for a vocabulary that is too large to be broadcast."""
+    tickets = tickets_table(spark, sf)
+    vocab = fitted_vocabulary(tickets, MULTI)
+    counts = materialise(ft.term_counts(tickets, MULTI), "counts")
+    return heavy_hitter_join(counts, vocab, "term").groupBy("incident_id").agg(
+        F.count("*").alias("known"), F.sum("tf").alias("occurrences"))
+
+
 CELLS = " UNION ALL ".join(
     f"SELECT incident_id, '{c}' AS column_name, coalesce({c}, 'INCONNU') AS value FROM clean" for c in CATEGORY_COLUMNS
 )

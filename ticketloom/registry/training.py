@@ -15,8 +15,9 @@ from ticketloom.constants import CATEGORY_COLUMNS, FOLDS, MIN_SAMPLES, TARGET_CO
 from ticketloom.operators import filters
 from ticketloom.operators.features import TEXT_CONFIGS, as_vectors
 from ticketloom.operators.models import strongest_terms, text_coefficients, train_forest
-from ticketloom.plans import clean, scoring, training, tuning
+from ticketloom.plans import bundle, clean, scoring, training, tuning
 from ticketloom.plans.training import Cascade, Classifier, best_class
+from ticketloom.registry import oracle as o
 from ticketloom.registry.catalog import kept, query
 from ticketloom.registry.cleaning import agents, tickets_table
 from ticketloom.session import materialise, scratch_path
@@ -246,3 +247,13 @@ def saved_model(spark, sf):
     return loaded.probabilities(tickets_table(spark, sf)).select(
         "incident_id", F.round(F.element_at("probabilities", -1), 6).alias("probability")
     )
+
+
+@query("s15_bundle", o.sql("SELECT agent, service FROM agents", "agents"))
+def bundle_agents(spark, sf):
+    """The agent map of a release that was saved, published and loaded with its models."""
+    omv, origine = gate_models(spark, sf)
+    path = scratch_path(spark, "releases")
+    version = bundle.save_bundle(
+        spark, path, agents(spark, sf), omv.classifier, origine.classifier, {"min_samples": MIN_SAMPLES})
+    return bundle.load_bundle(spark, path, version).agents

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from array import array
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -35,7 +36,7 @@ def _texts(node) -> str:
     return "".join(t.text or "" for t in node.iter(f"{_MAIN}t"))
 
 
-def _cell(cell, shared: list[str]) -> str | None:
+def _cell(cell, shared: SharedStrings) -> str | None:
     kind, value = cell.get("t"), cell.find(f"{_MAIN}v")
     if kind == "inlineStr":
         return _texts(cell)
@@ -48,13 +49,40 @@ def _cell(cell, shared: list[str]) -> str | None:
     return value.text
 
 
+def _elements(stream, tag: str) -> Iterator:
+    """Elements with `tag` as they end, each gone from memory before the next."""
+    path = []
+    for event, element in ElementTree.iterparse(stream, ("start", "end")):
+        if event == "start":
+            path.append(element)
+            continue
+        path.pop()
+        if element.tag == f"{_MAIN}{tag}":
+            yield element
+            path[-1].clear()
+
+
+class SharedStrings:
+    """A workbook's table of texts as one run of bytes and the offsets of the texts."""
+
+    def __init__(self, book: zipfile.ZipFile) -> None:
+        self.bytes, self.ends = bytearray(), array("Q", [0])
+        if "xl/sharedStrings.xml" in book.namelist():
+            with book.open("xl/sharedStrings.xml") as stream:
+                for item in _elements(stream, "si"):
+                    self.bytes += _texts(item).encode()
+                    self.ends.append(len(self.bytes))
+
+    def __getitem__(self, number: int) -> str:
+        if not 0 <= number < len(self.ends) - 1:
+            raise IndexError(f"no shared string {number}")
+        return self.bytes[self.ends[number] : self.ends[number + 1]].decode()
+
+
 def sheet_rows(content: bytes, sheet: str, required: bool) -> Iterator[list[str | None]]:
     """Rows of the named sheet, else (unless required) of the first."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        shared = []
-        if "xl/sharedStrings.xml" in book.namelist():
-            root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
-            shared = [_texts(item) for item in root.iter(f"{_MAIN}si")]
+        shared = SharedStrings(book)
         sheets = {
             s.get("name"): s.get(_REL)
             for s in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")
@@ -68,16 +96,13 @@ def sheet_rows(content: bytes, sheet: str, required: bool) -> Iterator[list[str
         target = targets[sheets.get(sheet) or next(iter(sheets.values()))]
         part = target if target.startswith("xl/") else f"xl/{target}"
         with book.open(part) as stream:
-            for _, row in ElementTree.iterparse(stream):
-                if row.tag != f"{_MAIN}row":
-                    continue
+            for row in _elements(stream, "row"):
                 cells: list[str | None] = []
                 for cell in row.iter(f"{_MAIN}c"):
                     place = _column(cell.get("r")) if cell.get("r") else len(cells)
                     cells.extend([None] * (place - len(cells)))
                     cells.append(_cell(cell, shared))
                 yield cells
-                row.clear()
 
 
 def workbook_rows(files: DataFrame, sheet: str = SHEET, required: bool = False) -> DataFrame:
