@@ -1,0 +1,27 @@
+"""The package is not installed on the workers: sessions started from another folder must work."""
+
+import os
+import subprocess
+import sys
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SCRIPT = f"""
+import sys
+sys.path.insert(0, {REPO!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "4").getOrCreate()
+import __spark_entry__ as entry
+from ticketloom.registry.cleaning import tickets_table
+from ticketloom.plans import tuning
+print("scored", entry.entry(spark).count())
+grid = {{"ngram_range": [(1, 1)], "max_features": [50], "C": [1.0]}}
+print("tuned", tuning.ngram_search(tickets_table(spark, sys.argv[1]), "omv", 8, grid).count())
+"""
+
+
+def test_workers_need_no_package(sf, tmp_path):
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", SCRIPT, sf], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert done.stdout.split() == ["scored", "200", "tuned", "1"]
