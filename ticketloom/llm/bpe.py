@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import bounded_batches, columns_of, record_batch
+from ticketloom.llm.common import bounded_batches, columns_of, record_batch, shipped, unpacked
 
 CACHED = 400_000
 STEP = 64  # symbols read beyond the look-ahead before tokens are emitted
@@ -226,7 +226,7 @@ class Tokenizer:
 
 def _digester(shared):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = shared.value  # stays with the worker, and so do the units it has seen
+        tokenizer = unpacked(shared)  # stays with the worker, and so do the units it has seen
         for batch in batches:
             ids, texts = columns_of(batch, "doc_id", "text")
             counts, of_ids, of_text = [], [], []
@@ -249,7 +249,7 @@ def _digester(shared):
 
 def _encoder(shared):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = shared.value
+        tokenizer = unpacked(shared)
         for batch in batches:
             ids, texts = columns_of(batch, "doc_id", "text")
             found = [tokenizer.encode((t or b"").decode("utf-8", "replace")) for t in texts]
@@ -261,7 +261,7 @@ def _encoder(shared):
 
 def _decoder(shared):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = shared.value
+        tokenizer = unpacked(shared)
         for batch in batches:
             ids, found = columns_of(batch, "doc_id", "ids")
             yield pa.RecordBatch.from_pydict(
@@ -278,7 +278,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 def _shared(df: DataFrame, path: str):
     """The tokenizer of a file that the driver can read: a few MB, whatever the corpus."""
     with open(path, encoding="utf-8") as file:
-        return df.sparkSession.sparkContext.broadcast(Tokenizer(file.read()))
+        return shipped(df.sparkSession, Tokenizer(file.read()))
 
 
 def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,18 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def shipped(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of `value` with the code of its class, so that workers need no installed package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def unpacked(shared: Broadcast):
+    """The value of `shipped`, made once in a Python worker and kept with the broadcast."""
+    if not hasattr(shared, "unpacked"):
+        shared.unpacked = pickle.loads(shared.value)
+    return shared.unpacked
+
+
 def partitions_for(spark: SparkSession) -> int:
     """Partitions of an explicit shuffle: as many as the session gives its own."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

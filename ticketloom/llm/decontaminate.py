@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import bounded_batches, columns_of, record_batch, utf8
+from ticketloom.llm.common import bounded_batches, columns_of, record_batch, shipped, unpacked, utf8
 
 WIDTH = 10
 BLOCK_BYTES = 32 * 1024 * 1024
@@ -139,7 +139,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict]:
 
 def _occurrences(shared, texts: list[bytes]) -> tuple[list[int], dict[int, list], dict[int, set]]:
     """Words of each text; by text, the spans found and the names of their items."""
-    numbers, tables = shared.value
+    numbers, tables = unpacked(shared)
     parts = [np.zeros(0, np.int64)]
     for text in texts:
         words = words_of(text)
@@ -191,7 +191,7 @@ def _searches(benchmark: DataFrame, width: int):
     for piece in range(pieces):
         own = items.where(F.pmod(F.xxhash64("name", "text"), F.lit(pieces)) == piece).collect()
         tables = compile_patterns([(r["name"], bytes(r["text"])) for r in own], width)
-        yield benchmark.sparkSession.sparkContext.broadcast(tables)
+        yield shipped(benchmark.sparkSession, tables)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:

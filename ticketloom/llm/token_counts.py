@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import bounded_batches, columns_of, utf8
+from ticketloom.llm.common import bounded_batches, columns_of, shipped, unpacked, utf8
 
 LIMIT = 1024
 CACHED = 400_000
@@ -89,7 +89,7 @@ class Counter:
 
 def _counter(shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = shared.value
+        counter = unpacked(shared)
         for batch in batches:
             digests, texts = columns_of(batch, "content_digest", "text")
             found = counter.counts([t.decode("utf-8", "replace") for t in texts])
@@ -131,7 +131,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, limit: i
     distinct = docs.select(digest.alias("content_digest"), text.alias("text")).groupBy("content_digest").agg(
         F.first("text").alias("text"))
     misses = distinct.join(_cached(spark, cache_path, counter.digest), "content_digest", "left_anti")
-    misses.mapInArrow(_counter(spark.sparkContext.broadcast(counter)), _CACHE).write.mode("append").parquet(cache_path)
+    misses.mapInArrow(_counter(shipped(spark, counter)), _CACHE).write.mode("append").parquet(cache_path)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
         digest.alias("content_digest"))
