@@ -131,12 +131,13 @@ class Trained:
     classifier: Classifier
     predictions: DataFrame = field(repr=False)
     metrics: dict[str, float] = field(default_factory=dict)
+    data: TrainingSet | None = field(default=None, repr=False)
 
 
-def _finish(prepared: Prepared, model: LinearModel) -> Trained:
+def _finish(prepared: Prepared, model: LinearModel, data: TrainingSet | None = None) -> Trained:
     predictions = materialise(test_predictions(prepared, model), "predictions")
     classifier = Classifier(prepared.label, prepared.features, model)
-    return Trained(classifier, predictions, test_metrics(predictions, model.classes))
+    return Trained(classifier, predictions, test_metrics(predictions, model.classes), data)
 
 
 def train_gate(
@@ -147,8 +148,8 @@ def train_gate(
     label = TARGET_COLUMNS[target]
     split = split_tickets(tickets, label, target == "origine", min_samples, test_size)
     prepared = prepare(split, label, CATEGORY_COLUMNS, config or TEXT_CONFIGS[target])
-    model = train_calibrated_svcs(prepared.training_set(), [cost or SVC_C[target]])[0]
-    return _finish(prepared, model)
+    data = prepared.training_set()
+    return _finish(prepared, train_calibrated_svcs(data, [cost or SVC_C[target]])[0], data)
 
 
 def cross_validated_auc(

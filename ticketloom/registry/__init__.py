@@ -1,4 +1,4 @@
 """All registered queries; importing the modules fills the catalogue."""
 
-from ticketloom.registry import cleaning, evaluation, features, ingestion, scoring, training  # noqa: F401
+from ticketloom.registry import cleaning, evaluation, features, ingestion, optimality, scoring, training  # noqa: F401
 from ticketloom.registry.catalog import ORACLES, QUERIES  # noqa: F401
