@@ -83,15 +83,43 @@ def test_requests(spark):
 
 def test_run_log_appends(spark):
     path = scratch_path(spark, "runs")
-    runlog.log_run(spark, path, {"OMV": {"metrics": {"accuracy": 0.5, "f1_macro": 0.0}},
-                                 "SERVICE": {"metrics_hybrid": {"accuracy": 0.25}, "metrics": {"accuracy": 1.0}}}, "p", "m")
-    runlog.log_run(spark, path, {"label": "ORIGINE", "metrics": {"accuracy": 0.75}}, "p", "m", "note")
+    both = [runlog.Measured("OMV", 0.5, 0.0), runlog.Measured("SERVICE", 1.0, combined=(0.25, None))]
+    runlog.log_run(spark, path, both, "p", "m")
+    runlog.log_run(spark, path, [runlog.Measured("ORIGINE", 0.75)], "p", "m", "note")
     rows = runlog.printable(runlog.read_log(spark, path)).orderBy("omv_acc").collect()
     assert [(r.omv_acc, r.omv_f1, r.svc_acc, r.ori_acc) for r in rows] == [
         ("0.5000", "N/A", "0.2500", "N/A"), ("N/A", "N/A", "N/A", "0.7500")
     ]
 
 
+def test_a_run_that_is_logged_again_is_one_row(spark, monkeypatch):
+    path = scratch_path(spark, "runs")
+    for accuracy in (0.25, 0.5):
+        runlog.log_run(spark, path, [runlog.Measured("OMV", accuracy)], "p", "m", key="run-1")
+    runlog.log_run(spark, path, [runlog.Measured("OMV", 0.75)], "p", "m", key="run-2")
+    assert sorted(r.omv_acc for r in runlog.read_log(spark, path).collect()) == [0.5, 0.75]
+    with monkeypatch.context() as broken:  # a write that fails leaves the other runs
+        broken.setattr(runlog, "RUN_LOG_COLUMNS", ["timestamp", F.raise_error(F.lit("cut short")).alias("run_id")])
+        with pytest.raises(Exception, match="cut short"):
+            runlog.log_run(spark, path, [runlog.Measured("OMV", 1.0)], "p", "m", key="run-3")
+    assert runlog.read_log(spark, path).count() == 2
+    into = scratch_path(spark, "compact")
+    runlog.compact_log(spark, path, into)
+    assert sorted(runlog.read_log(spark, into).collect()) == sorted(runlog.read_log(spark, path).collect())
+    assert len(runlog.read_log(spark, into).inputFiles()) == 1
+
+
+def test_sketches_merge(spark):
+    from ticketloom.operators import evaluate
+
+    df = spark.range(40_000).select((F.col("id") % 9000).alias("a"), (F.col("id") % 7).alias("b"), (F.col("id") % 5).alias("run"))
+    parts = evaluate.distinct_sketches(df, ["a", "b"], "run")
+    assert parts.count() == 10
+    found = {r.column_name: r.estimate for r in evaluate.distinct_estimates(parts).collect()}
+    assert found["b"] == 7 and abs(found["a"] - 9000) <= evaluate.SKETCH_ERROR * 9000
+    assert evaluate.distinct_estimates(evaluate.distinct_sketches(df.limit(0), ["a"], "run")).collect() == []
+
+
 def test_repair(spark):
     df = spark.createDataFrame([("SERI", "x SERI"), ("SERC", None)], "a string, b string")
     assert [tuple(r) for r in ingest.repair_cells(df).collect()] == [("SER IND PARIS", "x SERI"), ("SER COLL PARIS", None)]

@@ -174,3 +174,25 @@ def lookup_coverage(tickets: DataFrame) -> DataFrame:
 
 def labelled_counts(tickets: DataFrame, *targets: str) -> DataFrame:
     return tickets.agg(*[F.count(t).alias(f"n_{t}") for t in targets])
+
+
+# Sketches have 2 to this power buckets; three standard errors of an estimate are 1.04 * 3 / 64, under 5%.
+SKETCH_BUCKETS = 12
+SKETCH_ERROR = 0.05
+
+
+def distinct_sketches(df: DataFrame, columns: list[str], *by: str) -> DataFrame:
+    """(*by, column_name, sketch): one sketch of a few KB for each part and column, however many values.
+
+    Sketches of parts and runs may be kept and merged later, in any order.
+    """
+    sketches = [F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BUCKETS)).alias(c) for c in columns]
+    wide = df.groupBy(*by).agg(*sketches)
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("sketch")) for c in columns])
+    return wide.select(*by, F.inline(cells))
+
+
+def distinct_estimates(sketches: DataFrame, *by: str) -> DataFrame:
+    """(*by, column_name, estimate) of sketches merged over all that is not in `by`."""
+    return sketches.groupBy(*by, "column_name").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))

@@ -375,6 +375,23 @@ def distinct_classes(spark, sf):
     )
 
 
+SKETCHED = ["service_clean", "origine_clean", "demandeur", "cause"]
+
+
+@query("a2_distinct_sketches", o.sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n, true AS close FROM clean" for c in SKETCHED), "clean"))
+def distinct_sketches(spark, sf):
+    """Distinct values by sketches of eight parts, merged; `close` says whether within the stated error."""
+    tickets = tickets_table(spark, sf)
+    parts = tickets.withColumn("part", F.pmod(F.xxhash64("incident_id"), F.lit(8)))
+    sketches = evaluate.distinct_sketches(parts, SKETCHED, "part")
+    exact = tickets.agg(*[F.count_distinct(c).alias(c) for c in SKETCHED])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in SKETCHED])))
+    error = F.abs(F.col("estimate") - F.col("n"))
+    return exact.join(evaluate.distinct_estimates(sketches), "column_name").select(
+        "column_name", "n", (error <= F.greatest(F.lit(0.5), evaluate.SKETCH_ERROR * F.col("n"))).alias("close"))
+
+
 @query("a3_label_balance", o.sql(
     """SELECT count(*) AS n, count(*) FILTER (omv = 'OUI') AS n_yes, count(*) FILTER (omv = 'NON') AS n_no,
      round(count(*) FILTER (omv = 'OUI')::DOUBLE / count(*), 6) AS share_yes,

@@ -252,7 +252,7 @@ def run_log_append(spark, sf):
     metrics = evaluate.summary(fixtures.run(spark, sf, fixtures.BINARY)).first().asDict()
     path = scratch_path(spark, "runs")
     runlog.log_run(
-        spark, path, {"label": "OMV", "metrics": metrics}, "batch", "linear",
+        spark, path, [runlog.Measured("OMV", metrics["accuracy"], metrics["f1_macro"])], "batch", "linear",
         now=datetime(2026, 1, 2, 3, 4, 5),
     )
     return runlog.printable(runlog.read_log(spark, path)).select("run_id", "pipeline", "omv_acc", "svc_acc")

@@ -151,16 +151,44 @@ def both_targets(search, spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def searched(name: str, search, spark: SparkSession, sf: str) -> DataFrame:
+    return kept(spark, sf, name, lambda: materialise(both_targets(search, spark, sf), name.replace(" ", "-")))
+
+
+def by_target(results: DataFrame, rank) -> DataFrame:
+    """A ranking of each target's own results."""
+    parts = [rank(results.filter(F.col("target") == t).drop("target")).withColumn("target", F.lit(t)) for t in ("omv", "origine")]
+    return parts[0].unionByName(parts[1])
+
+
 @query("e8_grid_search")
 def grid_search(spark, sf):
     """The whole grid of the three classifiers on both targets."""
-    return both_targets(tuning.grid_search, spark, sf)
+    return searched("grid search", tuning.grid_search, spark, sf)
+
+
+@query("e8_classifier_ranking")
+def grid_ranking(spark, sf):
+    """The classifiers of the searched grid by their best setting."""
+    return by_target(searched("grid search", tuning.grid_search, spark, sf), tuning.classifier_ranking)
 
 
 @query("e9_ngram_search")
 def ngram_search(spark, sf):
     """The whole n-gram, vocabulary and cost grid on both targets."""
-    return both_targets(tuning.ngram_search, spark, sf)
+    return searched("ngram search", tuning.ngram_search, spark, sf)
+
+
+@query("e9_best_per_ngram")
+def ngram_ranking(spark, sf):
+    """The best setting of each n-gram range that was searched."""
+    return by_target(searched("ngram search", tuning.ngram_search, spark, sf), tuning.best_per_ngram)
+
+
+@query("e9_top_settings")
+def ngram_top(spark, sf):
+    """The ten best settings of the n-gram search."""
+    return by_target(searched("ngram search", tuning.ngram_search, spark, sf), tuning.top_settings)
 
 
 def flat_scores(scored: DataFrame) -> DataFrame:

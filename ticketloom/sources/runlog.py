@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,41 +38,49 @@ def wide_metrics(metrics: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def as_targets(results: dict) -> dict:
-    """{target: result}; a single result is wrapped under its label."""
-    if "metrics" in results or "accuracy" in results:
-        return {results.get("label", "Unknown"): results}
-    return results
+@dataclass(frozen=True)
+class Measured:
+    """A target's scores in one run; `combined` has those of lookup and model together, if there are any."""
 
+    target: str
+    accuracy: float | None = None
+    f1_macro: float | None = None
+    combined: tuple[float | None, float | None] | None = None
 
-def metric_rows(results: dict) -> list[tuple[str, float | None, float | None]]:
-    """(target, accuracy, f1_macro) per target; SERVICE prefers its hybrid metrics."""
-    rows = []
-    for target, result in as_targets(results).items():
-        hybrid = result.get("metrics_hybrid") if target == "SERVICE" else None
-        found = result.get("metrics", {}) if hybrid is None else hybrid
-        rows.append((target, found.get("accuracy"), found.get("f1_macro")))
-    return rows
+    @property
+    def scores(self) -> tuple[float | None, float | None]:
+        return self.combined if self.combined is not None else (self.accuracy, self.f1_macro)
 
 
 def log_run(
-    spark: SparkSession, path: str, results: dict, pipeline: str, model_type: str,
-    comment: str = "", now: datetime | None = None,
+    spark: SparkSession, path: str, results: list[Measured], pipeline: str, model_type: str,
+    comment: str = "", now: datetime | None = None, key: str | None = None,
 ) -> None:
-    """Append one run. The table is created when new."""
+    """Append one run to the log, which is created when new.
+
+    A run's row has a folder of its own, named by `key` (by default a new one). Writing a run again
+    under its key replaces it, so a retry leaves one row, and one that was cut short leaves none.
+    """
     now = now or datetime.now()
     metrics = spark.createDataFrame(
-        metric_rows(results), "target string, accuracy double, f1_macro double"
+        [(r.target, *r.scores) for r in results], "target string, accuracy double, f1_macro double"
     ).withColumn("run_id", F.lit(now.strftime("%Y%m%d_%H%M%S")))
     row = wide_metrics(metrics, "run_id").withColumns({
         "timestamp": F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"),
         "pipeline": F.lit(pipeline), "model_type": F.lit(model_type), "comment": F.lit(comment),
     })
-    row.select(*RUN_LOG_COLUMNS).coalesce(1).write.mode("append").parquet(path)
+    folder = f"{path}/{key or uuid.uuid4().hex}"
+    row.select(*RUN_LOG_COLUMNS).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
+    """All runs; folders and files of one log may be of any number."""
+    return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+
+
+def compact_log(spark: SparkSession, path: str, into: str) -> None:
+    """Write all runs of a log as one file into a new log, which then takes new runs like any other."""
+    read_log(spark, path).coalesce(1).write.mode("errorifexists").parquet(f"{into}/{uuid.uuid4().hex}")
 
 
 def printable(log: DataFrame) -> DataFrame:
