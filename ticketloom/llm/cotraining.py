@@ -29,10 +29,12 @@ LABELLED = 20_000  # at most so many labelled rows
 CALIBRATE = 4  # every so many-th labelled row, by hash, is kept for calibration
 ROUNDS = 2
 CONFIDENT = 0.95
-TEXT_SLOTS = 1 << 17
+# The driver makes several vectors of so many numbers a step; they stay small, so that its memory does.
+TEXT_SLOTS = 60_000
 PAGE_SLOTS = 1 << 12
 REGULARISATION = 1e-4
-ITERATIONS = 40
+ITERATIONS = 30
+ACCURACY = 1e-4  # of the loss, between two steps
 VIEWS = ("text", "page")
 
 
@@ -89,7 +91,7 @@ def _margin(model: LogisticRegressionModel, view: str, rows: DataFrame) -> DataF
 
 def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
     return LogisticRegression(
-        featuresCol=view, labelCol="y", maxIter=ITERATIONS, regParam=REGULARISATION, standardization=False,
+        featuresCol=view, labelCol="y", maxIter=ITERATIONS, tol=ACCURACY, regParam=REGULARISATION, standardization=False,
         aggregationDepth=2).fit(rows)
 
 
@@ -149,6 +151,8 @@ def train(vectors: DataFrame, labels: DataFrame) -> CoTrained:
     made: dict[str, list[LogisticRegressionModel]] = {view: [] for view in VIEWS}
     for step in range(ROUNDS + 1):
         models = {view: _fit(taught[view].select(view, "y"), view) for view in VIEWS}
+        # Spark drops a fit's broadcasts and shuffle files only after the driver has collected its garbage
+        vectors.sparkSession._jvm.System.gc()
         if step == ROUNDS:
             break
         for view, other in (VIEWS, VIEWS[::-1]):
