@@ -297,3 +297,64 @@ def test_near_copies_of_similarity_08_go(spark, monkeypatch, bucket):
     assert 12 < len(set(near)) < 60
     left = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))
     assert sorted(r.doc_id for r in left.collect()) == sorted(set(near))
+
+
+# --- families of passages -----------------------------------------------------
+
+def drifting(seed, versions, size=80):
+    """Versions of a passage, each with one word of its predecessor changed: neighbours at similarity 0.88."""
+    rng = random.Random(seed)
+    words = prose(3000 + seed, size).split()
+    out = [" ".join(words)]
+    for v in range(1, versions):
+        words[rng.randrange(8, size - 8)] = f"drift{seed}x{v}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("families,versions", [(20, 16), (3, 120)])
+def test_versions_that_drift_are_found(spark, families, versions):
+    """Recall against brute force: every version is like an earlier one, its predecessor."""
+    rows = []
+    for family in range(families):
+        own = drifting(family, versions)
+        assert all(five_word_similarity(a, b) >= 0.8 for a, b in zip(own, own[1:]))
+        rows += [(family * 1000 + v, f"{prose(5000 + family * 1000 + v, 40)} {p} {prose(90_000 + family * 1000 + v, 40)}", "en", "a", 0)
+                 for v, p in enumerate(own)]
+    got = {r.doc_id: r for r in passages.passage_dedup(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    first = [i for i in got if i % 1000 == 0]
+    assert all(got[i].n_repeated_words == 0 for i in first)
+    later = [r for i, r in got.items() if i % 1000]
+    found = sum(r.n_repeated_words >= 50 for r in later)
+    print("recall", found, len(later))
+    assert found >= 0.9 * len(later)
+    assert all(i // 1000 == r.doc_id // 1000 for r in later for i in r.first_doc_ids)
+
+
+def test_a_run_is_cut_where_the_other_side_has_a_gap():
+    rng = np.random.default_rng(6)
+    one, two, gap = (rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (56, 56, 44))
+    other = np.concatenate([one, gap, two])
+    got = passages.shared_passages(np.concatenate([one, two]), other, 46, 0.8)
+    assert sorted(got) == [(0, 56), (56, 112)]
+    assert passages.shared_passages(one, other, 46, 0.8) == [(0, 56)]
+    assert passages.shared_passages(gap[:20], other, 46, 0.8) == []
+
+
+@pytest.mark.parametrize("pairwise", [2, 6, 24])
+def test_pairs_of_large_groups_stay_linear(monkeypatch, pairwise):
+    monkeypatch.setattr(passages, "PAIRWISE", pairwise)
+    rng = np.random.default_rng(1)
+    found = np.zeros(500, passages._WINDOW)
+    found["h"], found["lo"] = rng.choice([8, 16, 24], 500, p=[0.9, 0.09, 0.01]), rng.permutation(500)
+    found["left"], found["right"] = rng.integers(0, 5, 500), rng.integers(0, 60, 500)
+    found, later, earlier = passages.window_pairs(found)
+    assert (found["h"][later] == found["h"][earlier]).all() and (found["lo"][later] > found["lo"][earlier]).all()
+    pairs = set(zip(later.tolist(), earlier.tolist()))
+    assert len(pairs) == len(later)
+    for h in (8, 16, 24):
+        group = np.flatnonzero(found["h"] == h).tolist()
+        if len(group) <= pairwise:
+            assert {(j, i) for i in group for j in group if j > i} <= pairs
+        assert {(i, group[0]) for i in group[1:]} <= pairs
+    assert len(pairs) <= (2 + 2 * passages.NEAR + pairwise) * 500
