@@ -299,6 +299,16 @@ def test_near_copies_of_similarity_08_go(spark, monkeypatch, bucket):
     assert sorted(r.doc_id for r in left.collect()) == sorted(set(near))
 
 
+def test_simhash_links_without_min_hashes(spark):
+    """Texts within the radius are one group though their sets of shingles are not similar enough to be verified."""
+    often = (prose(2100, 60) + " ") * 40
+    rows = [(1, often + prose(2101, 30), "en", "a", 0), (2, often + prose(2102, 30), "en", "a", 0), (3, prose(2103, 60), "en", "a", 0)]
+    assert (brute.fingerprint(rows[0][1], 5) ^ brute.fingerprint(rows[1][1], 5)).bit_count() <= simhash.RADIUS
+    assert five_word_similarity(rows[0][1], rows[1][1]) < 0.8
+    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(2))
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3]
+
+
 # --- families of passages -----------------------------------------------------
 
 def drifting(seed, versions, size=80):

@@ -25,10 +25,11 @@ from pyspark.sql import types as T
 
 from ticketloom.llm.common import bounded_batches, by_key, fresh_name, partitions_for, record_batch, touched, utf8
 from ticketloom.llm.components import components
-from ticketloom.llm.shingle_sets import SIMILARITY, similar_texts, text_id, with_bands
+from ticketloom.llm.shingle_sets import SIMILARITY, band_keys, similar_texts, text_id
 from ticketloom.session import materialise
 
 SHINGLE_WORDS = 4
+STAGE_WORDS = 5  # words of a shingle in `drop_near_duplicates`
 RADIUS = 4
 BLOCKS = 6
 BUCKET = 4096
@@ -82,6 +83,16 @@ def _fingerprinter(words: int):
     return fingerprints
 
 
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replaces the last column, the text's bytes, by its fingerprint and its min-hash fingerprints."""
+    for batch in batches:
+        texts = batch.column(batch.num_columns - 1).to_pylist()
+        values = np.array([fingerprint(t, STAGE_WORDS) for t in texts], np.uint64)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], pa.array(_signed(values)), band_keys(texts)],
+            names=[*batch.schema.names[:-1], "fp", "keys"])
+
+
 def _planes(values: np.ndarray) -> np.ndarray:
     """(64, words): bit b of 64 neighbouring values as one word of plane b."""
     n = -(-len(values) // 64) * 64
@@ -295,9 +306,11 @@ def simhash(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of `docs`, with all its columns, for each group of similar texts.
 
-    Texts are linked if their sets of five-word shingles (A-Z in lower case) have a Jaccard
-    similarity of at least `similarity`, verified for every pair that shares one of the fingerprints
-    of `shingle_sets`; a group is what the links connect. The row with the smallest `doc_id` stays,
+    Texts are linked if their SimHash fingerprints over five-word shingles (A-Z in lower case, repeats
+    included) differ in at most `RADIUS` bits, found as in `simhash`. Few pairs at `similarity` are
+    that close, so those are linked as well whose sets of shingles have a Jaccard similarity of at
+    least `similarity`, verified for every pair of unlinked texts that shares one of the fingerprints
+    of `shingle_sets`. A group is what the links connect. The row with the smallest `doc_id` stays,
     null ids last; of rows with equal ids the first by a digest of all columns, and of equal rows
     one. Texts of fewer than five words are one shingle, texts without words one group.
     """
@@ -308,12 +321,17 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
         F.md5(F.to_json(F.struct("*")).cast("binary")).alias("digest"))
     rows = docs.select(place.alias("place"), utf8("text").alias("text")).select(
         "place", *text_id("text"), F.octet_length("text").cast("long").alias("size"), "text")
-    kinds = T.StructType([*rows.schema.fields[:-1], T.StructField("keys", T.ArrayType(T.LongType()))])
-    rows = materialise(rows.mapInArrow(with_bands, kinds), "fingerprints")
+    kinds = T.StructType([
+        *rows.schema.fields[:-1], T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    rows = materialise(rows.mapInArrow(_marked, kinds), "fingerprints")
     classes = materialise(rows.groupBy("h", "g").agg(
-        F.min("place").alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys")), "classes")
+        F.min("place").alias("first"), F.first("size").alias("size"), F.first("fp").alias("fp"),
+        F.first("keys").alias("keys")), "classes")
+    prints = materialise(classes.groupBy("fp").agg(F.min(F.struct("h", "g")).alias("first")), "prints")
+    linked = _named(prints, RADIUS, BLOCKS).withColumnRenamed("first", "root")
+    near = classes.join(linked, "fp").select(F.struct("h", "g").alias("node"), "root").where("node <> root")
     texts = docs.select(utf8("text").alias("text")).select(*text_id("text"), "text")
-    roots = similar_texts(texts, classes, similarity).select("node.h", "node.g", "root")
+    roots = similar_texts(texts, classes, materialise(near, "near"), similarity).select("node.h", "node.g", "root")
     rooted = classes.join(roots, ["h", "g"], "left").select(
         "h", "g", F.col("first").alias("own"), F.coalesce("root", F.struct("h", "g")).alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("own").alias("first"))
