@@ -37,3 +37,13 @@ def test_frequent_keys_are_broadcast_and_the_rest_is_even(spark, zipf, dim, monk
     left = zipf.filter(F.col("term").isNotNull()).join(F.broadcast(spark.createDataFrame([(k,) for k in keys], "term string")), "term", "left_anti")
     sizes = [r["count"] for r in left.groupBy(F.pmod(F.xxhash64("term"), F.lit(8)).alias("task")).count().collect()]
     assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_copies_of_a_large_dimension_are_not_broadcast(spark, zipf, dim, how):
+    """Spark takes the copies to be no larger than the dimension, which alone it would broadcast."""
+    joined = joins.dim_join(zipf, dim, ["term"], how, F.col("id"), small=False)
+    got = sorted(map(tuple, joined.select("id", "term", "idx").collect()), key=str)
+    assert got == sorted(map(tuple, zipf.join(dim, "term", how).select("id", "term", "idx").collect()), key=str)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
