@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketloom.constants import RAW_COLUMNS
+from ticketloom.registry import QUERIES, ingestion
 from ticketloom.registry.scoring import book
 from ticketloom.session import scratch_path
 from ticketloom.sources import ingest, requests, runlog
@@ -124,3 +125,17 @@ def test_repair(spark):
     df = spark.createDataFrame([("SERI", "x SERI"), ("SERC", None)], "a string, b string")
     assert [tuple(r) for r in ingest.repair_cells(df).collect()] == [("SER IND PARIS", "x SERI"), ("SER COLL PARIS", None)]
     assert ingest.rows_per_source(df.withColumn("_source", F.lit("f"))).first()["n"] == 2
+
+
+def test_single_files_are_written_after_the_joins(spark, sf, monkeypatch):
+    """The one or two tasks that write a file read a table; the joins keep their own tasks."""
+    written = []
+    monkeypatch.setattr(ingestion, "write_csv", lambda df, path: written.append(df) or ingest.write_csv(df, path))
+    assert QUERIES["s1_split_csv_scan"](spark, sf).count() == 200
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 2" in plan and "Join" not in plan
+    kept = []
+    make = ingestion.materialise
+    monkeypatch.setattr(ingestion, "materialise", lambda df, name: kept.append(name) or make(df, name))
+    assert QUERIES["s5_rejected_files"](spark, sf).count() == 2
+    assert kept == ["lines"]

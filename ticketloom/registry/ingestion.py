@@ -19,7 +19,7 @@ from ticketloom.plans import clean
 from ticketloom.registry import oracle as o
 from ticketloom.registry.catalog import query
 from ticketloom.registry.cleaning import team_lists
-from ticketloom.session import scratch_path
+from ticketloom.session import materialise, scratch_path
 from ticketloom.sources.split_csv import parse, read_records
 from ticketloom.sources import ingest, runlog
 from ticketloom.sources.agents import load_agents
@@ -88,7 +88,8 @@ def csv_scan(spark, sf):
 def split_csv_scan(spark, sf):
     """The same rows from files that are cut into blocks."""
     folder = scratch_path(spark, "csv")
-    write_csv(raw_tickets(spark, sf).drop("layout").coalesce(2), folder)
+    # coalesced after the joins, else two tasks would hold the sorted tables of all partitions
+    write_csv(materialise(raw_tickets(spark, sf).drop("layout"), "tickets").coalesce(2), folder)
     records, unpaired = read_records(spark, ingest.list_files(spark, folder, ".csv"))
     if unpaired:
         raise ValueError(f"quotes are not paired in {unpaired}")
@@ -115,9 +116,10 @@ def rejected_files(spark, sf):
     """Beside the good files, one with too long rows and one that does not exist."""
     files = layout_files(spark, write_layouts(spark, sf))
     folder = scratch_path(spark, "ragged")
-    ragged = raw_tickets(spark, sf).coalesce(1).select(
+    lines = raw_tickets(spark, sf).select(
         F.concat_ws(",", "incident_id", F.lit("x"), F.lit("y"), F.lit("z")).alias("value")
     )
+    ragged = materialise(lines, "lines").coalesce(1)  # one task, but not for the joins
     head = spark.createDataFrame([("N° d'Incident,SERVICE",)], "value string").coalesce(1)
     head.unionByName(ragged).coalesce(1).write.text(folder)
     path = ingest.list_files(spark, folder, ".txt")[0]
