@@ -127,6 +127,15 @@ def test_repair(spark):
     assert ingest.rows_per_source(df.withColumn("_source", F.lit("f"))).first()["n"] == 2
 
 
+def test_team_lists_of_nested_folders(spark, tmp_path):
+    for doc, service in (("1", "S1"), ("2", "S2")):
+        (tmp_path / f"doc={doc}").mkdir()
+        (tmp_path / f"doc={doc}" / "part.txt").write_text(f'{{"{service}": ["Bob", "Ann{doc}"]}}')
+    (tmp_path / "_SUCCESS").write_text("")
+    got = {(r.agent, r.service) for r in load_agents(spark, str(tmp_path), nested=True).collect()}
+    assert got == {("BOB", "S2"), ("ANN1", "S1"), ("ANN2", "S2")}
+
+
 def test_single_files_are_written_after_the_joins(spark, sf, monkeypatch):
     """The one or two tasks that write a file read a table; the joins keep their own tasks."""
     written = []

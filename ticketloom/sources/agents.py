@@ -9,9 +9,12 @@ from ticketloom.functions.fields import agent
 from ticketloom.functions.text import strip_accents
 
 
-def read_team_lists(spark: SparkSession, path: str) -> DataFrame:
-    """(doc, json): one row per JSON file, in file-name order."""
-    return spark.read.text(path, wholetext=True).select(
+def read_team_lists(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """(doc, json): one row per JSON file, in file-name order.
+
+    With `nested` the files of all folders below `path`, which tasks list and not the driver.
+    """
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=nested).select(
         F.col("_metadata.file_path").alias("doc"), F.col("value").alias("json")
     )
 
@@ -60,5 +63,5 @@ def agent_services(members: DataFrame) -> DataFrame:
     )
 
 
-def load_agents(spark: SparkSession, path: str) -> DataFrame:
-    return agent_services(team_members(read_team_lists(spark, path)))
+def load_agents(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    return agent_services(team_members(read_team_lists(spark, path, nested)))
