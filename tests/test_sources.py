@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +9,7 @@ from ticketloom.session import scratch_path
 from ticketloom.sources import ingest, requests, runlog
 from ticketloom.sources.agents import agent_services, load_agents, team_members
 from ticketloom.sources.headers import canonical_header, chosen_columns, header_key
-from ticketloom.sources.workbook import read_workbook_rows
+from ticketloom.sources.workbook import BATCH_BYTES, read_workbook_rows, workbook_rows
 
 
 def test_header_keys():
@@ -136,6 +137,21 @@ def test_team_lists_of_nested_folders(spark, tmp_path):
     assert got == {("BOB", "S2"), ("ANN1", "S1"), ("ANN2", "S2")}
 
 
+def test_parsed_rows_are_handed_over_by_size(spark):
+    """Long texts leave a worker before a frame of 10,000 rows is full."""
+
+    class Files:
+        sparkSession = spark
+        select = lambda self, *columns: self
+        mapInPandas = lambda self, parse, schema: parse
+
+    content = book([["a"], *([f"{i}" * 1_500_000] for i in range(7))], shared=True)
+    frames = list(workbook_rows(Files())(iter([pd.DataFrame({"file": ["x.xlsx"], "content": [content]})])))
+    assert max(f["cells"].map(lambda c: len(c[0])).sum() for f in frames) <= 6_000_000
+    assert [r for f in frames for r in f["row"]] == list(range(8))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= BATCH_BYTES
+
+
 def test_single_files_are_written_after_the_joins(spark, sf, monkeypatch):
     """The one or two tasks that write a file read a table; the joins keep their own tasks."""
     written = []
