@@ -150,3 +150,16 @@ def test_a_fit_that_was_cut_short_says_so(data, way):
     train, _, _ = data
     _, report = linear.fit(train.rows, 30, [linear.Problem("hinge", 1, 2, (2.0, 0.5))], 1e-9, max_passes=2)
     assert report.passes == 2 and not report.converged
+
+
+def test_folds_of_a_large_table_share_every_job(data, monkeypatch):
+    train, _, _ = data
+    settings = [(1.0, -1), (1.0, 0), (1.0, 3)]
+    want = [m.weights for m in models.train_logistics(train, settings, 5)]
+    runs, by_jobs = [], linear._fit_by_jobs
+    monkeypatch.setattr(linear, "LOCAL_NUMBERS", -1)
+    monkeypatch.setattr(linear, "_fit_by_jobs", lambda *args: runs.append(len(args[2])) or by_jobs(*args))
+    found = models.train_logistics(train, settings, 5)
+    assert runs == [3] and all(m.converged for m in found)
+    for m, w in zip(found, want):
+        assert m.weights == pytest.approx(w, abs=1e-3)
