@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ticketloom import fixtures
 from ticketloom.operators import joins
-from ticketloom.session import materialise
+from ticketloom.session import materialise, scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +48,27 @@ def test_copies_of_a_large_dimension_are_not_broadcast(spark, zipf, dim, how):
     assert got == sorted(map(tuple, zipf.join(dim, "term", how).select("id", "term", "idx").collect()), key=str)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_large_table_in_a_small_file_is_not_broadcast(spark):
+    """Customers of a few MB in the file, over the rows that a broadcast may have."""
+    sf = scratch_path(spark, "tables")
+    n = joins.BROADCAST_ROWS + 50
+    spark.range(n).select(
+        F.col("id").alias("c_custkey"), F.format_string("Customer#%09d", "id").alias("c_name"),
+        F.lit(1).alias("c_nationkey"), F.lit("FURNITURE").alias("c_mktsegment")).write.parquet(f"{sf}/customer.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'FRANCE' AS n_name").write.parquet(f"{sf}/nation.parquet")
+    docs = spark.createDataFrame(
+        [(1, "un", "fr", "web"), (None, "rien", None, None), (3, None, "en", "web"), (4, "vier", "de", "mail"), (4, "vier", "de", "mail")],
+        "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame(
+        [(1, n - 1, "1-URGENT"), (3, n + 7, "5-LOW"), (4, None, None)], "o_orderkey long, o_custkey long, o_orderpriority string",
+    ).write.parquet(f"{sf}/orders.parquet")
+    joined = fixtures.incidents(spark, sf)
+    plain = spark.sql(fixtures.INCIDENTS, **{t: spark.read.parquet(f"{sf}/{t}.parquet") for t in fixtures.TABLES})
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [o_custkey" in plan
+    assert [(r.demandeur is None, r.service) for r in joined.where("incident_id = 1").collect()] == [(False, "FRANCE")]
